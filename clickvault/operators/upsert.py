@@ -29,7 +29,8 @@ from clickvault.session import checkpoint_reliably
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Final state of ``target`` after merging ``source`` on ``keys``."""
     kept = target.join(source.select(*keys), on=list(keys), how="left_anti")
-    return kept.unionByName(source.select(*target.columns))
+    # a join on names moves the keys to the front; keep the target's layout
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def matched_partition_values(
@@ -73,19 +74,24 @@ def overwrite_partitions(
     """Replace the ``touched`` partitions of ``table`` with ``new_rows``.
 
     ``new_rows`` must hold the complete new content of exactly those
-    partitions. Partitions left without rows are dropped (dynamic overwrite
-    alone would leave their old files behind). Returns the dropped values.
+    partitions and should be materialised (checkpointed): it is read once
+    for its partition values and once for the write. Partitions left
+    without rows are dropped (dynamic overwrite alone would leave their old
+    files behind). Returns the dropped values.
     """
     cols = table_columns(spark, table)
+    present = set(_collect_values(new_rows, partition_col))
     (
         new_rows.select(*cols)
         .write.option("partitionOverwriteMode", "dynamic")
         .insertInto(table, overwrite=True)
     )
-    present = set(_collect_values(spark.table(table).where(F.col(partition_col).isin(touched)), partition_col)) if touched else set()
     emptied = [v for v in touched if v not in present]
     for v in emptied:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {_sql_literal(v)})")
+        spark.sql(
+            f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
+            f"({partition_col} = {_sql_literal(v)})"
+        )
     return emptied
 
 

@@ -75,11 +75,13 @@ def run_pair(spark, con, query, sql: str, sf_dir: str):
     return (s_cols, s_types, s_rows), (d_cols, d_types, d_rows)
 
 
-def compare(spark, con, query, sql: str, sf_dir: str) -> tuple[bool, str]:
+def compare(
+    spark, con, query, sql: str, sf_dir: str, strict_order: bool = False
+) -> tuple[bool, str]:
     (s_cols, s_types, s_rows), (d_cols, d_types, d_rows) = run_pair(
         spark, con, query, sql, sf_dir
     )
-    if sorted(s_cols) != sorted(d_cols):
+    if sorted(s_cols) != sorted(d_cols) or (strict_order and s_cols != d_cols):
         return False, f"columns differ: spark={s_cols} oracle={d_cols}"
     order = sorted(s_cols)
     bad_types = {c: (s_types[c], d_types[c]) for c in order if s_types[c] != d_types[c]}

@@ -42,7 +42,9 @@ def silver_slice(silver: DataFrame, dates: DataFrame) -> DataFrame:
     event_date Spark turns it into dynamic partition pruning, and with a
     literal list (``isin``) into static partition filters.
     """
-    return silver.join(dates.select("event_date").distinct(), "event_date", "left_semi")
+    return silver.join(dates.select("event_date").distinct(), "event_date", "left_semi").select(
+        *silver.columns
+    )
 
 
 def refresh_gold_frame(
@@ -52,7 +54,7 @@ def refresh_gold_frame(
     build = G.BUILDERS[table]
     fresh = build(silver_slice(new_silver, dates))
     kept = old_gold.join(dates.select("event_date").distinct(), "event_date", "left_anti")
-    return kept.unionByName(fresh)
+    return kept.select(*old_gold.columns).unionByName(fresh)
 
 
 def merge_gold_frame(old_gold: DataFrame, source_gold: DataFrame, table: str) -> DataFrame:
