@@ -92,6 +92,7 @@ def overwrite_partitions(
             f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
             f"({partition_col} = {_sql_literal(v)})"
         )
+    spark.catalog.refreshTable(table)
     return emptied
 
 
@@ -111,6 +112,8 @@ def upsert_partitioned_table(
     executor during the write recomputes from the checkpoint and never from
     the partitions being replaced.
     """
+    # another session (e.g. an earlier micro-batch) may have rewritten files
+    spark.catalog.refreshTable(table)
     target = spark.table(table)
     touched_df = source.select(partition_col).union(
         matched_partition_values(target, source, keys, partition_col)

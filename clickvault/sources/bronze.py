@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickvault.schemas import BRONZE
+from clickvault.schemas import BRONZE, BRONZE_COLUMNS
 
 
 def read_bronze_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -14,10 +14,12 @@ def read_bronze_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     files, and a single malformed line would change the column set. In
     PERMISSIVE mode a malformed line becomes an all-NULL row, which the
     mandatory-column filter then removes. Numbers in the JSON are kept as
-    their text. Partition-style folders (``ingestion_date=...``) add no
-    columns because the schema is fixed.
+    their text. Partition-style folders (``ingestion_date=...``) would add
+    a column by partition discovery; the projection keeps the fixed layout.
     """
-    return spark.read.schema(BRONZE).option("mode", "PERMISSIVE").json(path)
+    return spark.read.schema(BRONZE).option("mode", "PERMISSIVE").json(path).select(
+        *BRONZE_COLUMNS
+    )
 
 
 def write_bronze_json(df: DataFrame, path: str) -> None:

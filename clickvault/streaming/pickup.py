@@ -18,15 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from clickvault.plans.tables import load_batch
-from clickvault.schemas import BRONZE
+from clickvault.schemas import BRONZE, BRONZE_COLUMNS
 from clickvault.session import checkpoint_dir
 
 
-def bronze_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def bronze_stream(
+    spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     reader = spark.readStream.schema(BRONZE).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(landing_dir)
+    return reader.json(landing_dir).select(*BRONZE_COLUMNS)
 
 
 def start_pickup(

@@ -137,6 +137,8 @@ def test_table_loads_late_and_moved_events(spark, scratch):
     rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
     assert rep.touched_dates == [dt.date(2026, 9, 19)]
     assert len(_silver_rows(spark, db)) == 6
+    assert all(r.data_transformed_ingested_timestamp is not None
+               for r in _silver_rows(spark, db).values())
     d19, d18 = dt.date(2026, 9, 19), dt.date(2026, 9, 18)
     assert _gold(spark, db, "business_metrics")[(d19, "India")].product_viewers == 1
 
