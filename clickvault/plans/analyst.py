@@ -54,16 +54,20 @@ def high_views_low_purchases(product: DataFrame) -> DataFrame:
     """Products viewed at least as much as the average product but bought
     less than the average product.
 
-    The two averages are scalar subqueries (one small job each, inlined as
-    literals), so there is no join of every product against them.
+    Both averages come from one scalar subquery (a one-row struct, computed
+    once and inlined as a literal), so there is no join of every product
+    against them.
     """
     per = product.groupBy("product_id").agg(
         F.sum("total_product_views").alias("total_views"),
         F.sum("unique_purchasers").alias("total_purchasers"),
     )
-    avg_views = per.select(F.avg("total_views")).scalar()
-    avg_purch = per.select(F.avg("total_purchasers")).scalar()
-    return per.where((F.col("total_views") >= avg_views) & (F.col("total_purchasers") < avg_purch))
+    avg = per.select(
+        F.struct(F.avg("total_views").alias("v"), F.avg("total_purchasers").alias("p"))
+    ).scalar()
+    return per.where(
+        (F.col("total_views") >= avg.getField("v")) & (F.col("total_purchasers") < avg.getField("p"))
+    )
 
 
 def _ranked_sum(df: DataFrame, key: str, measure: str, out: str) -> DataFrame:

@@ -13,6 +13,7 @@ old day's metrics too.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from clickvault.operators import gold as G
 from clickvault.operators.upsert import matched_partition_values, merge_frames
@@ -35,16 +36,24 @@ def upsert_silver(target_silver: DataFrame, clean_batch: DataFrame) -> DataFrame
     return merge_frames(target_silver, clean_batch, SILVER_KEY)
 
 
+def date_set(dates: DataFrame) -> DataFrame:
+    """Distinct dates, marked for broadcast.
+
+    The size bound is proven: one row per calendar day touched. Broadcasting
+    it matters for correctness of scale, not just speed: a shuffled join on
+    event_date would send every row of a day to a single task.
+    """
+    return F.broadcast(dates.select("event_date").distinct())
+
+
 def silver_slice(silver: DataFrame, dates: DataFrame) -> DataFrame:
     """Silver rows of the given dates.
 
-    A semi join with the (small) date set; on a table partitioned by
+    A broadcast semi join with the date set; on a table partitioned by
     event_date Spark turns it into dynamic partition pruning, and with a
     literal list (``isin``) into static partition filters.
     """
-    return silver.join(dates.select("event_date").distinct(), "event_date", "left_semi").select(
-        *silver.columns
-    )
+    return silver.join(date_set(dates), "event_date", "left_semi").select(*silver.columns)
 
 
 def refresh_gold_frame(
@@ -53,7 +62,7 @@ def refresh_gold_frame(
     """Gold ``table`` after replacing the touched dates' slices."""
     build = G.BUILDERS[table]
     fresh = build(silver_slice(new_silver, dates))
-    kept = old_gold.join(dates.select("event_date").distinct(), "event_date", "left_anti")
+    kept = old_gold.join(date_set(dates), "event_date", "left_anti")
     return kept.select(*old_gold.columns).unionByName(fresh)
 
 
@@ -64,4 +73,5 @@ def merge_gold_frame(old_gold: DataFrame, source_gold: DataFrame, table: str) ->
 
 def empty_dates(dates: DataFrame, new_silver: DataFrame) -> DataFrame:
     """Touched dates that no longer hold any Silver row."""
-    return dates.join(new_silver.select("event_date"), "event_date", "left_anti").distinct()
+    present = new_silver.select("event_date").distinct()
+    return dates.select("event_date").distinct().join(F.broadcast(present), "event_date", "left_anti")
