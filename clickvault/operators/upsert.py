@@ -81,8 +81,12 @@ def overwrite_partitions(
     """
     cols = table_columns(spark, table)
     present = set(_collect_values(new_rows, partition_col))
+    # REBALANCE on the partition column: AQE cuts a hot date into chunks of
+    # the advisory size and merges small ones, so each date gets a few
+    # right-sized files instead of one file per (task, date).
     (
         new_rows.select(*cols)
+        .hint("rebalance", partition_col)
         .write.option("partitionOverwriteMode", "dynamic")
         .insertInto(table, overwrite=True)
     )
