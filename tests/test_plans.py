@@ -69,13 +69,24 @@ def _plan(df):
 
 
 def test_silver_is_one_shuffle_with_map_side_combine(spark):
-    plan = _plan(S.silver_clean(FX.bronze_view(spark, SF_SMALL)))
+    events = FX.load_table(spark, SF_SMALL, "events")
+    plan = _plan(S.silver_clean(FX.bronze_from_events(events)))
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_max" in plan
     # only the four columns the adapter needs are read
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
+def test_single_split_source_is_spread(spark):
+    events = FX.load_table(spark, SF_SMALL, "events")
+    assert events.rdd.getNumPartitions() == 1
+    spread = FX.spread_small_input(events, "event_id")
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    # a source with enough splits is left alone
+    wide = events.repartition(spark.sparkContext.defaultParallelism)
+    assert FX.spread_small_input(wide, "event_id") is wide
+
+
 def test_gold_plan_has_no_expand(spark):
     silver = S.silver_clean(FX.bronze_view(spark, SF_SMALL))
     assert "Expand" not in _plan(G.business_metrics(silver))
