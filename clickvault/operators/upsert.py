@@ -64,6 +64,19 @@ def table_columns(spark: SparkSession, table: str) -> list[str]:
     return spark.table(table).columns
 
 
+def table_buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
+    """(number of buckets, bucket columns) of a bucketed table, else None."""
+    info = {
+        r[0]: r[1]
+        for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+        if r[0] in ("Num Buckets", "Bucket Columns")
+    }
+    if "Num Buckets" not in info:
+        return None
+    cols = [c.strip().strip("`") for c in info["Bucket Columns"].strip("[]").split(",")]
+    return int(info["Num Buckets"]), cols
+
+
 def overwrite_partitions(
     spark: SparkSession,
     table: str,
@@ -81,15 +94,18 @@ def overwrite_partitions(
     """
     cols = table_columns(spark, table)
     present = set(_collect_values(new_rows, partition_col))
-    # REBALANCE on the partition column: AQE cuts a hot date into chunks of
-    # the advisory size and merges small ones, so each date gets a few
-    # right-sized files instead of one file per (task, date).
-    (
-        new_rows.select(*cols)
-        .hint("rebalance", partition_col)
-        .write.option("partitionOverwriteMode", "dynamic")
-        .insertInto(table, overwrite=True)
-    )
+    out = new_rows.select(*cols)
+    buckets = table_buckets(spark, table)
+    if buckets:
+        # one task per bucket: each writes one file per touched date; the
+        # bucket key is unique per row (event_id), so tasks are even
+        out = out.repartition(buckets[0], *buckets[1])
+    else:
+        # REBALANCE on the partition column: AQE cuts a hot date into chunks
+        # of the advisory size and merges small ones, so each date gets a
+        # few right-sized files instead of one file per (task, date)
+        out = out.hint("rebalance", partition_col)
+    out.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
     emptied = [v for v in touched if v not in present]
     for v in emptied:
         spark.sql(

@@ -42,13 +42,31 @@ def gold_table(database: str, name: str) -> str:
     return f"{database}.{name}"
 
 
-def create_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database, the Silver table and the four Gold tables if absent."""
+DEFAULT_SILVER_BUCKETS = 16
+
+
+def create_tables(
+    spark: SparkSession,
+    database: str,
+    location: str | None = None,
+    silver_buckets: int | None = DEFAULT_SILVER_BUCKETS,
+) -> None:
+    """Create the database, the Silver table and the four Gold tables if absent.
+
+    Silver is partitioned by event_date and bucketed by event_id: the upsert
+    joins every batch with Silver on event_id, and with both sides bucketed
+    the same way only the batch is shuffled, never the table. Size the
+    buckets so one bucket of one day is a good file size, e.g. daily volume
+    / 128 MB (a few thousand at 100 TB a year). ``None`` disables bucketing.
+    """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    bucketing = (
+        f" CLUSTERED BY (event_id) INTO {int(silver_buckets)} BUCKETS" if silver_buckets else ""
+    )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {silver_table(database)} ({SILVER_DDL}) "
-        "USING parquet PARTITIONED BY (event_date)"
+        f"USING parquet PARTITIONED BY (event_date){bucketing}"
     )
     for spec in GOLD_SPECS.values():
         cols = [c for c in spec.ddl().split(",\n    ") if not c.startswith("event_date ")]

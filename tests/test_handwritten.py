@@ -207,3 +207,30 @@ def test_scan_silver_dates_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [(event_date" in plan
     assert "user_interactions_processed/event_date=2026-09-19]" in plan
     assert df.count() == 6
+
+
+def test_bucketed_silver_is_not_shuffled_for_the_id_lookup(spark, scratch):
+    from clickvault.operators.upsert import matched_partition_values, table_buckets
+
+    db = "bk_" + uuid.uuid4().hex[:8]
+    # more buckets than shuffle partitions, as on a cluster: Spark then keeps
+    # the table's bucketing and moves only the batch
+    T.create_tables(spark, db, silver_buckets=16)
+    assert table_buckets(spark, T.silver_table(db)) == (16, ["event_id"])
+    T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
+    batch = S.silver_clean(read_bronze_json(spark, land(scratch, batch1())))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lookup = matched_partition_values(
+            spark.table(T.silver_table(db)), batch, ["event_id"], "event_date")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            lookup.explain()
+        lines = buf.getvalue().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
+    scan = next(i for i, ln in enumerate(lines) if "user_interactions_processed" in ln)
+    assert "Bucketed: true" in lines[scan]
+    assert not any("Exchange" in ln for ln in lines[join:scan])
