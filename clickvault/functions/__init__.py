@@ -1,6 +1,5 @@
 from clickvault.functions.columns import (
     coalesced_rate,
-    count_if,
     days_late,
     guarded_rate,
     lower_trim,
@@ -12,7 +11,6 @@ from clickvault.functions.columns import (
 
 __all__ = [
     "coalesced_rate",
-    "count_if",
     "days_late",
     "guarded_rate",
     "lower_trim",

@@ -59,10 +59,6 @@ def surrogate_key(*parts) -> Column:
     return F.sha2(F.concat_ws("|", *[_c(p).cast("string") for p in parts]), 256)
 
 
-def count_if(cond: Column) -> Column:
-    return F.count_if(cond)
-
-
 def days_late(ingested, event_date) -> Column:
     """Whole days between the event date and the ingestion date."""
     return F.datediff(F.to_date(_c(ingested)), _c(event_date))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickvault.operators import cleaning as K
@@ -21,6 +21,30 @@ def silver_clean(bronze: DataFrame) -> DataFrame:
     return K.fill_defaults(K.product_rule(K.drop_null_mandatory(K.dedup_by_id(std))))
 
 
+def silver_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
+    """``silver_clean`` with row counts observed after each stage.
+
+    The counts are collected by whichever action first runs the plan (the
+    checkpoint in ``load_batch``), so logging them costs no extra pass. The
+    duplicate-group counts of ``stage_counts`` need aggregations of their
+    own and are not included.
+    """
+    obs = {n: Observation(n) for n in OBSERVED_STAGES}
+    one = F.count(F.lit(1)).alias("rows")
+    std = K.standardize(bronze).observe(obs["bronze_rows"], one)
+    by_id = K.dedup_by_id(std).observe(obs["after_id_dedup"], one)
+    nonnull = K.drop_null_mandatory(by_id).observe(obs["after_mandatory_nulls"], one)
+    kept = K.product_rule(nonnull).observe(obs["after_product_rule"], one)
+    return K.fill_defaults(kept), obs
+
+
+OBSERVED_STAGES = ["bronze_rows", "after_id_dedup", "after_mandatory_nulls", "after_product_rule"]
+
+
+def observed_counts(obs: dict[str, Observation]) -> dict[str, int]:
+    return {n: o.get["rows"] for n, o in obs.items()}
+
+
 def with_load_timestamp(df: DataFrame) -> DataFrame:
     """Stamp the Silver load time (session-zone timestamp)."""
     return df.withColumn(SILVER_LOAD_TS, F.current_timestamp())

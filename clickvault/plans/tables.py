@@ -27,7 +27,12 @@ from pyspark.sql import functions as F
 from clickvault.operators import gold as G
 from clickvault.operators import quality as Q
 from clickvault.operators.upsert import overwrite_partitions, upsert_partitioned_table
-from clickvault.plans.silver import silver_clean, stage_counts, with_load_timestamp
+from clickvault.plans.silver import (
+    observed_counts,
+    silver_clean_observed,
+    stage_counts,
+    with_load_timestamp,
+)
 from clickvault.schemas import GOLD_SPECS, SILVER_DDL
 from clickvault.session import checkpoint_reliably
 
@@ -107,6 +112,7 @@ class BatchReport:
     gold_suites: dict = field(default_factory=dict)
     gold_failures: dict = field(default_factory=dict)
     stage_counts: dict | None = None
+    observed: dict = field(default_factory=dict)
 
 
 def refresh_gold(
@@ -155,11 +161,18 @@ def load_batch(
     method: str = "user_grain",
     with_stage_counts: bool = False,
 ) -> BatchReport:
-    """Bronze batch -> Silver upsert -> Gold refresh of the touched dates."""
+    """Bronze batch -> Silver upsert -> Gold refresh of the touched dates.
+
+    ``report.observed`` holds row counts after each cleaning stage, taken
+    during the checkpoint job at no extra cost; ``with_stage_counts`` adds
+    the full report with duplicate groups (two more aggregations).
+    """
     report = BatchReport()
     if with_stage_counts:
         report.stage_counts = stage_counts(bronze).first().asDict()
-    clean = checkpoint_reliably(with_load_timestamp(silver_clean(bronze)))
+    clean, obs = silver_clean_observed(bronze)
+    clean = checkpoint_reliably(with_load_timestamp(clean))
+    report.observed = observed_counts(obs)  # filled by the checkpoint job
     report.silver_suite = Q.enforce(Q.run_suite(clean, Q.SILVER_SUITE), "silver")
     report.touched_dates = upsert_partitioned_table(
         spark, silver_table(database), clean, ["event_id"], "event_date"

@@ -41,6 +41,7 @@ SILVER_COLUMNS = [
     "device_type",
 ]
 SILVER_LOAD_TS = "data_transformed_ingested_timestamp"
+# Mandatory Silver columns (fixed values of the reference).
 SILVER_MANDATORY = [
     "event_id",
     "event_timestamp",
@@ -110,6 +111,8 @@ class GoldSpec:
         return ",\n    ".join(parts)
 
 
+# The four Gold tables: name, key column, grain, surrogate-key inputs,
+# measures and rates, in output order (fixed values of the reference).
 BUSINESS = GoldSpec(
     "business_metrics",
     "business_metric_key",

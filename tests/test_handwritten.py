@@ -134,8 +134,12 @@ def _gold(spark, db, name):
 def test_table_loads_late_and_moved_events(spark, scratch):
     db = "hw_" + uuid.uuid4().hex[:8]
     T.create_tables(spark, db)
-    rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
+    rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db,
+                       with_stage_counts=True)
     assert rep.touched_dates == [dt.date(2026, 9, 19)]
+    assert rep.observed == {"bronze_rows": 16, "after_id_dedup": 12,
+                            "after_mandatory_nulls": 7, "after_product_rule": 6}
+    assert rep.stage_counts["exact_duplicate_groups"] == 1
     assert len(_silver_rows(spark, db)) == 6
     assert all(r.data_transformed_ingested_timestamp is not None
                for r in _silver_rows(spark, db).values())
