@@ -46,6 +46,18 @@ def _norm(v):
     return v
 
 
+# Spark type -> the DuckDB type the oracle must produce for an exact match
+EXACT = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def _family(type_name: str) -> str:
     t = type_name.lower()
     if any(k in t for k in ("int", "long", "short", "byte")):
@@ -66,17 +78,18 @@ def _family(type_name: str) -> str:
 def run_pair(spark, con, query, sql: str, sf_dir: str):
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
-    s_types = {f.name: _family(f.dataType.simpleString()) for f in sdf.schema.fields}
+    s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     rel = con.sql(sql)
     d_cols = list(rel.columns)
-    d_types = {c: _family(str(t)) for c, t in zip(rel.columns, rel.types)}
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     return (s_cols, s_types, s_rows), (d_cols, d_types, d_rows)
 
 
 def compare(
-    spark, con, query, sql: str, sf_dir: str, strict_order: bool = False
+    spark, con, query, sql: str, sf_dir: str, strict_order: bool = False,
+    exact_types: bool = False,
 ) -> tuple[bool, str]:
     (s_cols, s_types, s_rows), (d_cols, d_types, d_rows) = run_pair(
         spark, con, query, sql, sf_dir
@@ -84,7 +97,12 @@ def compare(
     if sorted(s_cols) != sorted(d_cols) or (strict_order and s_cols != d_cols):
         return False, f"columns differ: spark={s_cols} oracle={d_cols}"
     order = sorted(s_cols)
-    bad_types = {c: (s_types[c], d_types[c]) for c in order if s_types[c] != d_types[c]}
+    if exact_types:
+        bad_types = {c: (s_types[c], d_types[c]) for c in order
+                     if EXACT.get(s_types[c], s_types[c]) != d_types[c]}
+    else:
+        bad_types = {c: (s_types[c], d_types[c]) for c in order
+                     if _family(s_types[c]) != _family(d_types[c])}
     if bad_types:
         return False, f"types differ: {bad_types}"
     si = [s_cols.index(c) for c in order]

@@ -86,7 +86,7 @@ def q_silver_dedup_by_id(spark, sf_dir):
     O.BASE
     + "SELECT "
     + ", ".join(
-        f"count_if({c} IS NULL) AS {c}"
+        f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}"
         for c in ["event_id", "event_timestamp", "event_type", "ingestion_timestamp",
                   "session_id", "user_id"]
     )
@@ -163,8 +163,9 @@ for _name, _cte in [
 # ------------------------------------------------ rates, keys, distinct counts
 PRODUCT_DAY = ["event_date", "product_id"]
 STAGE_EVENTS_SQL = (
-    "SELECT event_date, product_id, count_if(event_type = 'checkout') AS checkout_events, "
-    "count_if(event_type = 'purchase') AS purchase_events FROM silver "
+    "SELECT event_date, product_id, "
+    "CAST(count_if(event_type = 'checkout') AS BIGINT) AS checkout_events, "
+    "CAST(count_if(event_type = 'purchase') AS BIGINT) AS purchase_events FROM silver "
     "GROUP BY event_date, product_id"
 )
 
@@ -223,7 +224,8 @@ def q_stage_users(spark, sf_dir):
     "product_view_counts",
     O.BASE
     + "SELECT product_id, count(CASE WHEN event_type = 'product_view' THEN user_id END) "
-    "AS total_product_views, count_if(event_type = 'product_view') AS view_events "
+    "AS total_product_views, CAST(count_if(event_type = 'product_view') AS BIGINT) "
+    "AS view_events "
     "FROM silver GROUP BY product_id",
 )
 def q_product_view_counts(spark, sf_dir):

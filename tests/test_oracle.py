@@ -17,7 +17,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck_small, name):
     ok, msg = compare(
-        spark, duck_small, QUERIES[name], ORACLES[name], SF_SMALL, strict_order=True
+        spark, duck_small, QUERIES[name], ORACLES[name], SF_SMALL, strict_order=True,
+        exact_types=True,
     )
     assert ok, f"{name}: {msg}"
 
