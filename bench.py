@@ -61,7 +61,7 @@ def _timed(fn, repeat: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     scratch = tempfile.mkdtemp(prefix="clickvault-bench-")
 
     from clickvault import registry
@@ -92,7 +92,8 @@ def main() -> None:
     # end-to-end write path on tables (each load timed once: it mutates state)
     bronze = FX.bronze_view(spark, sf_dir)
     db = "bench_db"
-    T.create_tables(spark, db)
+    # buckets sized to the shuffle partitions (see README, cluster settings)
+    T.create_tables(spark, db, silver_buckets=int(cpus))
     for label, batch in (("load_batch_1", FX.first_batch(bronze)),
                          ("load_batch_2_late", FX.second_batch(bronze))):
         t = time.perf_counter()

@@ -8,6 +8,11 @@ operations, and late events are never dropped, so no watermark is used.
 
 ``available_now=True`` processes what has landed and stops (one scheduled
 run per arrival window); ``False`` keeps polling every ``interval``.
+
+Restart safety: if the driver dies after a micro-batch was written but
+before the stream committed it, the batch is handed to ``load_batch`` again
+on restart. The upsert by event_id and the whole-slice Gold refresh are
+idempotent, so the tables end up the same as after one run.
 """
 
 from __future__ import annotations
