@@ -65,9 +65,9 @@ def high_views_low_purchases(product: DataFrame) -> DataFrame:
     avg = per.select(
         F.struct(F.avg("total_views").alias("v"), F.avg("total_purchasers").alias("p"))
     ).scalar()
-    return per.where(
-        (F.col("total_views") >= avg.getField("v")) & (F.col("total_purchasers") < avg.getField("p"))
-    )
+    viewed = F.col("total_views") >= avg.getField("v")
+    bought = F.col("total_purchasers") < avg.getField("p")
+    return per.where(viewed & bought)
 
 
 def _ranked_sum(df: DataFrame, key: str, measure: str, out: str) -> DataFrame:
@@ -132,8 +132,9 @@ def days_by_purchasers(business: DataFrame) -> DataFrame:
 
 def late_arrival_profile(silver: DataFrame) -> DataFrame:
     """Events per event date and number of days they arrived late."""
+    late = days_late("ingestion_timestamp", "event_date").alias("days_late")
     return (
-        silver.select("event_date", days_late("ingestion_timestamp", "event_date").alias("days_late"))
+        silver.select("event_date", late)
         .groupBy("event_date", "days_late")
         .agg(F.count(F.lit(1)).alias("events"))
     )

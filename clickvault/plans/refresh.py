@@ -74,4 +74,5 @@ def merge_gold_frame(old_gold: DataFrame, source_gold: DataFrame, table: str) ->
 def empty_dates(dates: DataFrame, new_silver: DataFrame) -> DataFrame:
     """Touched dates that no longer hold any Silver row."""
     present = new_silver.select("event_date").distinct()
-    return dates.select("event_date").distinct().join(F.broadcast(present), "event_date", "left_anti")
+    touched = dates.select("event_date").distinct()
+    return touched.join(F.broadcast(present), "event_date", "left_anti")

@@ -44,8 +44,16 @@ def start_pickup(
     available_now: bool = True,
     interval: str = "1 minute",
     max_files_per_trigger: int | None = None,
+    stop_on_gold_failure: bool = False,
 ) -> StreamingQuery:
-    """Start the landing-folder stream; returns the running query."""
+    """Start the landing-folder stream; returns the running query.
+
+    A Silver validation failure stops the stream (the batch was not written
+    and will be retried on restart). A Gold validation failure leaves that
+    table's dates as they were and is recorded in the batch report; the
+    stream goes on with the next files, as independent per-file runs would,
+    unless ``stop_on_gold_failure``.
+    """
     loc = checkpoint_location or os.path.join(
         checkpoint_dir(spark), "streams", f"{database}_bronze_pickup"
     )
@@ -54,7 +62,12 @@ def start_pickup(
     def handle(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        reports.append(load_batch(batch.sparkSession, batch, database))
+        reports.append(
+            load_batch(
+                batch.sparkSession, batch, database,
+                raise_on_gold_failure=stop_on_gold_failure,
+            )
+        )
 
     writer = (
         bronze_stream(spark, landing_dir, max_files_per_trigger)
