@@ -16,20 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder configured for this session."""
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
+def _configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
         CHECKPOINT_CONF, None
     )
-    if not d:
-        raise RuntimeError(
-            f"{CHECKPOINT_CONF} is not set; configure a folder on shared storage "
-            "that every executor can reach"
-        )
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder configured for this session."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
+    d = _configured_dir(spark)
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d
+    if sc.getCheckpointDir() is not None:  # set on the context by the caller
+        return sc.getCheckpointDir()
+    raise RuntimeError(
+        f"{CHECKPOINT_CONF} is not set; configure a folder on shared storage "
+        "that every executor can reach"
+    )
 
 
 def checkpoint_reliably(df: DataFrame) -> DataFrame:
@@ -59,14 +65,15 @@ def local_session(
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
-    extra = dict(extra or {})
-    if CHECKPOINT_CONF not in extra:
-        # only for local runs: a cluster names its shared folder itself
-        base = scratch or tempfile.mkdtemp(prefix="clickvault-")
-        extra[CHECKPOINT_CONF] = os.path.join(base, "checkpoints")
-    for k, v in extra.items():
+    for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if not _configured_dir(spark) and sc.getCheckpointDir() is None:
+        # only where none is set (local tests and bench): a cluster names
+        # its shared folder itself
+        base = scratch or tempfile.mkdtemp(prefix="clickvault-")
+        sc.setCheckpointDir(os.path.join(base, "checkpoints"))
     checkpoint_dir(spark)
     return spark
