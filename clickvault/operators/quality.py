@@ -1,9 +1,10 @@
 """Declarative data-quality rules, evaluated in one pass, and the gate.
 
 A suite is a list of ``Expectation``. ``run_suite`` returns a DataFrame
-with one row per rule (position, expectation, column, element_count,
-unexpected_count, success); ``enforce`` collects that small result (one row
-per rule, never data rows) and raises before anything is written.
+with one row per rule (position, expectation, column, kwargs as JSON,
+element_count, unexpected_count, success); ``enforce`` collects that small
+result (one row per rule, never data rows) and raises before anything is
+written.
 
 Row-level rules (not-null, conditional not-null, between) all become
 ``count_if`` terms of a single aggregate. A uniqueness rule needs the rows
@@ -14,6 +15,7 @@ value cannot pile up in one task.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +40,13 @@ class Expectation:
     def name(self) -> str:
         return NAMES[self.kind]
 
+    @property
+    def kwargs(self) -> str:
+        """The rule's parameters as JSON text (keys sorted, unset ones left out)."""
+        args = {"column": self.column, "row_condition": self.row_condition,
+                "min_value": self.min_value, "max_value": self.max_value}
+        return json.dumps({k: v for k, v in args.items() if v is not None}, sort_keys=True)
+
     def domain(self) -> Column:
         """Rows the rule applies to (a NULL condition result excludes the row)."""
         if self.row_condition is None:
@@ -75,6 +84,7 @@ RESULT_COLUMNS = [
     "rule_index",
     "expectation",
     "column_name",
+    "kwargs",
     "element_count",
     "unexpected_count",
     "success",
@@ -86,6 +96,7 @@ def _result_row(i: int, rule: Expectation, element: Column, unexpected: Column)
         F.lit(i).alias("rule_index"),
         F.lit(rule.name).alias("expectation"),
         F.lit(rule.column).alias("column_name"),
+        F.lit(rule.kwargs).alias("kwargs"),
         element.cast("bigint").alias("element_count"),
         unexpected.cast("bigint").alias("unexpected_count"),
     )
