@@ -26,14 +26,17 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--database", required=True)
     load.add_argument("--input", required=True, nargs="+")
     load.add_argument("--stage-counts", action="store_true")
+    load.add_argument("--gold-database")
     ref = sub.add_parser("refresh", help="refresh Gold for a touched-date manifest")
     ref.add_argument("--database", required=True)
     ref.add_argument("--dates", required=True)
+    ref.add_argument("--gold-database")
     pick = sub.add_parser("pickup", help="process new files of a landing folder")
     pick.add_argument("--database", required=True)
     pick.add_argument("--landing", required=True)
     pick.add_argument("--continuous", action="store_true")
     pick.add_argument("--max-files-per-trigger", type=int)
+    pick.add_argument("--gold-database")
     return p
 
 
@@ -44,7 +47,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"clickvault-{args.cmd}").getOrCreate()
-    T.create_tables(spark, args.database)
+    T.create_tables(spark, args.database, gold_database=args.gold_database)
     if args.cmd == "load":
         rep = T.load_batch(
             spark,
@@ -52,6 +55,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             args.database,
             with_stage_counts=args.stage_counts,
             raise_on_gold_failure=False,
+            gold_database=args.gold_database,
         )
         out = {
             "processed_dates": T.format_manifest(rep.touched_dates),
@@ -61,7 +65,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         }
     elif args.cmd == "refresh":
         dates = T.parse_manifest(args.dates)
-        suites, failures = T.refresh_gold(spark, args.database, dates)
+        suites, failures = T.refresh_gold(
+            spark, args.database, dates, gold_database=args.gold_database
+        )
         out = {
             "refreshed": sorted(suites),
             "gold_failures": {k: str(v) for k, v in failures.items()},
@@ -73,6 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             args.database,
             available_now=not args.continuous,
             max_files_per_trigger=args.max_files_per_trigger,
+            gold_database=args.gold_database,
         )
         q.awaitTermination()
         out = {"batches": len(q.reports)}

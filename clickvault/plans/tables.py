@@ -56,6 +56,7 @@ def create_tables(
     database: str,
     location: str | None = None,
     silver_buckets: int | None = DEFAULT_SILVER_BUCKETS,
+    gold_database: str | None = None,
 ) -> None:
     """Create the database, the Silver table and the four Gold tables if absent.
 
@@ -64,9 +65,13 @@ def create_tables(
     the same way only the batch is shuffled, never the table. Size the
     buckets so one bucket of one day is a good file size, e.g. daily volume
     / 128 MB (a few thousand at 100 TB a year). ``None`` disables bucketing.
+    Gold tables go to ``gold_database`` when given (Silver and Gold kept in
+    separate databases), else next to Silver.
     """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    gold_db = gold_database or database
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {gold_db}")
     bucketing = (
         f" CLUSTERED BY (event_id) INTO {int(silver_buckets)} BUCKETS" if silver_buckets else ""
     )
@@ -77,7 +82,7 @@ def create_tables(
     for spec in GOLD_SPECS.values():
         cols = [c for c in spec.ddl().split(",\n    ") if not c.startswith("event_date ")]
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {gold_table(database, spec.name)} "
+            f"CREATE TABLE IF NOT EXISTS {gold_table(gold_db, spec.name)} "
             f"({', '.join(cols)}, event_date date) USING parquet PARTITIONED BY (event_date)"
         )
 
@@ -122,6 +127,7 @@ def refresh_gold(
     dates: list,
     method: str = "user_grain",
     parallel: bool = True,
+    gold_database: str | None = None,
 ) -> tuple[dict, dict]:
     """Replace the Gold slices of ``dates``; each table is gated on its own.
 
@@ -150,7 +156,8 @@ def refresh_gold(
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = Q.enforce(Q.run_suite(fresh, Q.SUITES[name]), name)
-            overwrite_partitions(spark, gold_table(database, name), fresh, "event_date", dates)
+            target = gold_table(gold_database or database, name)
+            overwrite_partitions(spark, target, fresh, "event_date", dates)
             return name, rows, None
         except Q.DataQualityError as e:
             return name, None, e
@@ -177,6 +184,7 @@ def load_batch(
     method: str = "user_grain",
     with_stage_counts: bool = False,
     raise_on_gold_failure: bool = True,
+    gold_database: str | None = None,
 ) -> BatchReport:
     """Bronze batch -> Silver upsert -> Gold refresh of the touched dates.
 
@@ -200,7 +208,7 @@ def load_batch(
         spark, silver_table(database), clean, ["event_id"], "event_date"
     )
     report.gold_suites, report.gold_failures = refresh_gold(
-        spark, database, report.touched_dates, method
+        spark, database, report.touched_dates, method, gold_database=gold_database
     )
     if report.gold_failures and raise_on_gold_failure:
         raise GoldValidationError(report)

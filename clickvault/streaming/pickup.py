@@ -45,6 +45,7 @@ def start_pickup(
     interval: str = "1 minute",
     max_files_per_trigger: int | None = None,
     stop_on_gold_failure: bool = False,
+    gold_database: str | None = None,
 ) -> StreamingQuery:
     """Start the landing-folder stream; returns the running query.
 
@@ -66,6 +67,7 @@ def start_pickup(
             load_batch(
                 batch.sparkSession, batch, database,
                 raise_on_gold_failure=stop_on_gold_failure,
+                gold_database=gold_database,
             )
         )
 

@@ -20,3 +20,12 @@ def test_load_then_refresh(spark, scratch, capsys):
     assert out["refreshed"] == sorted(
         ["business_metrics", "marketing_funnel", "marketing_channel", "product_performance"])
     assert '"refreshed"' in capsys.readouterr().out
+
+
+def test_separate_gold_database(spark, scratch):
+    silver_db, gold_db = "s_" + uuid.uuid4().hex[:8], "g_" + uuid.uuid4().hex[:8]
+    out = main(["load", "--database", silver_db, "--gold-database", gold_db,
+                "--input", land(scratch, batch1())], spark=spark)
+    assert out["processed_dates"] == "2026-09-19"
+    assert spark.table(T.gold_table(gold_db, "business_metrics")).count() == 3
+    assert not spark.catalog.tableExists(T.gold_table(silver_db, "business_metrics"))
