@@ -38,7 +38,7 @@ def _norm(v):
         f = float(v)
         if math.isnan(f):
             return "nan"
-        return round(f, 9)
+        return f  # exact: both sides round to 2 places the same way
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
