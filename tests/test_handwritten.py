@@ -238,3 +238,15 @@ def test_bucketed_silver_is_not_shuffled_for_the_id_lookup(spark, scratch):
     scan = next(i for i, ln in enumerate(lines) if "user_interactions_processed" in ln)
     assert "Bucketed: true" in lines[scan]
     assert not any("Exchange" in ln for ln in lines[join:scan])
+
+
+def test_empty_batch_changes_nothing(spark, scratch):
+    db = "empty_" + uuid.uuid4().hex[:8]
+    T.create_tables(spark, db)
+    T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
+    before = sorted(tuple(r) for r in spark.table(T.gold_table(db, "business_metrics")).collect())
+    rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, [])), db)
+    assert rep.touched_dates == [] and rep.observed["bronze_rows"] == 0
+    assert len(_silver_rows(spark, db)) == 6
+    after = sorted(tuple(r) for r in spark.table(T.gold_table(db, "business_metrics")).collect())
+    assert after == before
