@@ -149,8 +149,12 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     table with at least as many splits as cores, the normal case at scale,
     is returned unchanged, so no shuffle is added there.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no data is read
+    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
 
