@@ -54,6 +54,7 @@ def _finish(spec: GoldSpec, agg: DataFrame, rates: dict[str, Column]) -> DataFra
 def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
     """Per grain: users, sessions, events and distinct users per stage."""
     flags = {name: F.bool_or(F.col(f"_f_{name}")) for name in STAGES}
+    user_flags = [_is(s).alias(f"_f_{n}") for n, s in STAGES.items()]
     if with_sessions:
         # Each row is emitted under its user key (kind 0) and its session key
         # (kind 1); the session copy carries no flags.
@@ -61,11 +62,7 @@ def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFra
             *grain,
             F.inline(
                 F.array(
-                    F.struct(
-                        F.lit(0).alias("_k"),
-                        F.col("user_id").alias("_v"),
-                        *[_is(s).alias(f"_f_{n}") for n, s in STAGES.items()],
-                    ),
+                    F.struct(F.lit(0).alias("_k"), F.col("user_id").alias("_v"), *user_flags),
                     F.struct(
                         F.lit(1).alias("_k"),
                         F.col("session_id").alias("_v"),
@@ -74,16 +71,9 @@ def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFra
                 )
             ),
         )
-        keys = [*grain, "_k", "_v"]
     else:
-        keyed = df.select(
-            *grain,
-            F.lit(0).alias("_k"),
-            F.col("user_id").alias("_v"),
-            *[_is(s).alias(f"_f_{n}") for n, s in STAGES.items()],
-        )
-        keys = [*grain, "_k", "_v"]
-    level = keyed.groupBy(*keys).agg(
+        keyed = df.select(*grain, F.lit(0).alias("_k"), F.col("user_id").alias("_v"), *user_flags)
+    level = keyed.groupBy(*grain, "_k", "_v").agg(
         F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in flags.items()]
     )
     user = (F.col("_k") == 0) & F.col("_v").isNotNull()
