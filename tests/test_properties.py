@@ -57,3 +57,55 @@ def test_silver_and_business_metrics_match_model(spark, rows):
     for method in ("user_grain", "distinct"):
         gold = sorted(tuple(r) for r in G.business_metrics(silver, method).collect())
         assert gold == sorted(model.business_metrics(model.silver(rows)))
+
+
+KEYS = st.sampled_from(["a", "b", "c", None])
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(KEYS, st.integers(0, 5)), max_size=8),
+       st.lists(st.tuples(KEYS, st.integers(6, 9)), max_size=6, unique_by=lambda t: t[0]))
+def test_merge_matches_model(spark, target, source):
+    from clickvault.operators.upsert import merge_frames
+
+    t = spark.createDataFrame(target, "k string, v int")
+    s = spark.createDataFrame(source, "k string, v int")
+    got = sorted(map(tuple, merge_frames(t, s, ["k"]).collect()), key=repr)
+    src_keys = {k for k, _ in source if k is not None}
+    # a target row stays unless a source row has its (non-NULL) key; every
+    # source row is inserted or replaces; NULL keys never match
+    want = [r for r in target if r[0] is None or r[0] not in src_keys] + list(source)
+    assert got == sorted(want, key=repr)
+
+
+VALUES = st.one_of(st.none(), st.integers(-3, 120))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(KEYS, VALUES, st.sampled_from(["x", "y", None])), max_size=12))
+def test_quality_rules_match_model(spark, rows):
+    from clickvault.operators import quality as Q
+
+    df = spark.createDataFrame(rows, "k string, v int, t string")
+    rules = [Q.expect_unique("k"), Q.expect_not_null("v"),
+             Q.expect_not_null("k", row_condition='t = "x"'),
+             Q.expect_between("v", 0, 100), Q.expect_between("v", None, 10),
+             Q.expect_unique("t", row_condition="v > 3")]
+    got = [(r.element_count, r.unexpected_count, r.success)
+           for r in Q.run_suite(df, rules).orderBy("rule_index").collect()]
+
+    def unique(col, dom):
+        vals = [r[col] for r in rows if dom(r)]
+        dup = [x for x in vals if x is not None and vals.count(x) > 1]
+        return len(vals), len(dup)
+
+    everything = (lambda r: True)
+    want = [
+        unique(0, everything),
+        (len(rows), sum(r[1] is None for r in rows)),
+        (sum(r[2] == "x" for r in rows), sum(r[2] == "x" and r[0] is None for r in rows)),
+        (len(rows), sum(r[1] is not None and not 0 <= r[1] <= 100 for r in rows)),
+        (len(rows), sum(r[1] is not None and r[1] > 10 for r in rows)),
+        unique(2, lambda r: r[1] is not None and r[1] > 3),
+    ]
+    assert got == [(e, u, u == 0) for e, u in want]
