@@ -77,3 +77,41 @@ def local_session(
         sc.setCheckpointDir(os.path.join(base, "checkpoints"))
     checkpoint_dir(spark)
     return spark
+
+
+MB = 1024 * 1024
+
+
+def silver_buckets_for(daily_bytes: int, target_file_bytes: int = 128 * MB) -> int:
+    """Bucket count so one bucket of one day is about one target-sized file.
+
+    Rounded up to a power of two (bucket counts cannot change later without
+    a rewrite, and powers of two let a table be joined with one built at
+    half or double the count). At least 8.
+    """
+    n = max(8, -(-daily_bytes // target_file_bytes))
+    return 1 << (n - 1).bit_length()
+
+
+def recommended_conf(
+    batch_bytes: int,
+    total_cores: int,
+    partition_bytes: int = 128 * MB,
+) -> dict[str, str]:
+    """Session settings for a batch of ``batch_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at max(batch / partition size, 3 x cores), so
+    each reduce task handles about one partition's worth of data and spills
+    rather than fails if a partition grows; AQE then coalesces small ones
+    and splits skewed ones at run time. Scan splits and the advisory size
+    use the same partition size.
+    """
+    shuffle = max(-(-batch_bytes // partition_bytes), 3 * total_cores)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+    }
