@@ -27,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     load.add_argument("--input", required=True, nargs="+")
     load.add_argument("--stage-counts", action="store_true")
     load.add_argument("--gold-database")
+    load.add_argument("--silver-only", action="store_true",
+                      help="stop after Silver; print the manifest for `refresh`")
     ref = sub.add_parser("refresh", help="refresh Gold for a touched-date manifest")
     ref.add_argument("--database", required=True)
     ref.add_argument("--dates", required=True)
@@ -56,6 +58,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             with_stage_counts=args.stage_counts,
             raise_on_gold_failure=False,
             gold_database=args.gold_database,
+            silver_only=args.silver_only,
         )
         out = {
             "processed_dates": T.format_manifest(rep.touched_dates),

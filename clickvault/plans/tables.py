@@ -185,6 +185,7 @@ def load_batch(
     with_stage_counts: bool = False,
     raise_on_gold_failure: bool = True,
     gold_database: str | None = None,
+    silver_only: bool = False,
 ) -> BatchReport:
     """Bronze batch -> Silver upsert -> Gold refresh of the touched dates.
 
@@ -195,7 +196,9 @@ def load_batch(
     A failing Silver suite raises before anything is written. A failing Gold
     suite leaves that table unchanged; with ``raise_on_gold_failure`` it
     raises after the other tables were written, otherwise the failures are
-    only recorded in ``report.gold_failures``.
+    only recorded in ``report.gold_failures``. ``silver_only`` stops after
+    the Silver upsert; ``report.touched_dates`` is then the manifest for a
+    separate ``refresh_gold`` run.
     """
     report = BatchReport()
     if with_stage_counts:
@@ -207,6 +210,8 @@ def load_batch(
     report.touched_dates = upsert_partitioned_table(
         spark, silver_table(database), clean, ["event_id"], "event_date"
     )
+    if silver_only:
+        return report
     report.gold_suites, report.gold_failures = refresh_gold(
         spark, database, report.touched_dates, method, gold_database=gold_database
     )

@@ -29,3 +29,13 @@ def test_separate_gold_database(spark, scratch):
     assert out["processed_dates"] == "2026-09-19"
     assert spark.table(T.gold_table(gold_db, "business_metrics")).count() == 3
     assert not spark.catalog.tableExists(T.gold_table(silver_db, "business_metrics"))
+
+
+def test_silver_job_then_gold_job(spark, scratch):
+    db = "two_" + uuid.uuid4().hex[:8]
+    out = main(["load", "--database", db, "--silver-only", "--input", land(scratch, batch1())],
+               spark=spark)
+    assert spark.table(T.silver_table(db)).count() == 6
+    assert spark.table(T.gold_table(db, "business_metrics")).count() == 0
+    main(["refresh", "--database", db, "--dates", out["processed_dates"]], spark=spark)
+    assert spark.table(T.gold_table(db, "business_metrics")).count() == 3
