@@ -51,9 +51,12 @@ def _finish(spec: GoldSpec, agg: DataFrame, rates: dict[str, Column]) -> DataFra
     return out.select(*spec.columns)
 
 
-def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
-    """Per grain: users, sessions, events and distinct users per stage."""
-    flags = {name: F.bool_or(F.col(f"_f_{name}")) for name in STAGES}
+def stage_level(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
+    """First level: one row per (grain, user) [and (grain, session)].
+
+    ``_k`` is 0 for a user key and 1 for a session key, ``_v`` the key value,
+    ``_n`` the number of events, and one boolean per funnel stage.
+    """
     user_flags = [_is(s).alias(f"_f_{n}") for n, s in STAGES.items()]
     if with_sessions:
         # Each row is emitted under its user key (kind 0) and its session key
@@ -73,9 +76,26 @@ def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFra
         )
     else:
         keyed = df.select(*grain, F.lit(0).alias("_k"), F.col("user_id").alias("_v"), *user_flags)
-    level = keyed.groupBy(*grain, "_k", "_v").agg(
-        F.count(F.lit(1)).alias("_n"), *[e.alias(n) for n, e in flags.items()]
+    return keyed.groupBy(*grain, "_k", "_v").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.bool_or(F.col(f"_f_{n}")).alias(n) for n in STAGES],
     )
+
+
+def rollup_level(level: DataFrame, grain: list[str]) -> DataFrame:
+    """A first level re-keyed to a coarser grain.
+
+    A user seen under several traffic sources becomes one row: flags are
+    OR-ed and event counts added. This aggregates the (much smaller) level
+    rows, not the events again.
+    """
+    return level.groupBy(*grain, "_k", "_v").agg(
+        F.sum("_n").alias("_n"), *[F.bool_or(n).alias(n) for n in STAGES]
+    )
+
+
+def stage_measures(level: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
+    """Second level: users, sessions, events and stage users per grain."""
     user = (F.col("_k") == 0) & F.col("_v").isNotNull()
     measures = [
         F.count_if(user).alias("total_users"),
@@ -89,6 +109,11 @@ def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFra
     return level.groupBy(*grain).agg(*measures)
 
 
+def _user_grain(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
+    """Per grain: users, sessions, events and distinct users per stage."""
+    return stage_measures(stage_level(df, grain, with_sessions), grain, with_sessions)
+
+
 def _distinct(df: DataFrame, grain: list[str], with_sessions: bool) -> DataFrame:
     measures = [F.count_distinct("user_id").alias("total_users")]
     if with_sessions:
@@ -151,9 +176,7 @@ def marketing_funnel(silver: DataFrame, method: str = "user_grain") -> DataFrame
     return funnel_from_metrics(agg)
 
 
-def marketing_channel(silver: DataFrame, method: str = "user_grain") -> DataFrame:
-    """Gold marketing_channel: grain (event_date, country, traffic_source)."""
-    agg = _stage_metrics(silver, CHANNEL.grain, True, method)
+def channel_from_metrics(agg: DataFrame) -> DataFrame:
     rates = {
         "purchase_conversion_rate": guarded_rate("purchasers", "total_users"),
         "events_per_session": guarded_rate("total_events", "total_sessions", scale=1),
@@ -161,6 +184,11 @@ def marketing_channel(silver: DataFrame, method: str = "user_grain") -> DataFram
     return _finish(CHANNEL, agg, rates)
 
 
+def marketing_channel(silver: DataFrame, method: str = "user_grain") -> DataFrame:
+    """Gold marketing_channel: grain (event_date, country, traffic_source)."""
+    return channel_from_metrics(_stage_metrics(silver, CHANNEL.grain, True, method))
+
+
 def product_performance(silver: DataFrame, method: str = "user_grain") -> DataFrame:
     """Gold product_performance: grain (event_date, country, product_id).
 

@@ -141,12 +141,24 @@ def refresh_gold(
     if not dates:
         return {}, {}
     slice_ = scan_silver_dates(spark, database, dates)
-    # business metrics and funnel share their (date, country) aggregate
-    shared = G.day_country_metrics(slice_, method).persist(StorageLevel.MEMORY_AND_DISK)
+    level = None
+    if method == "user_grain":
+        # one pass over the events for three tables: the per-source user and
+        # session level gives the channel table, and rolled up to
+        # (date, country) the business and funnel tables
+        level = G.stage_level(slice_, G.CHANNEL.grain, True).persist(StorageLevel.MEMORY_AND_DISK)
+        channel = G.channel_from_metrics(G.stage_measures(level, G.CHANNEL.grain, True))
+        day_country = G.stage_measures(
+            G.rollup_level(level, G.BUSINESS.grain), G.BUSINESS.grain, True
+        )
+    else:
+        channel = G.marketing_channel(slice_, method)
+        day_country = G.day_country_metrics(slice_, method)
+    shared = day_country.persist(StorageLevel.MEMORY_AND_DISK)
     results = {
         "business_metrics": G.business_from_metrics(shared),
         "marketing_funnel": G.funnel_from_metrics(shared.drop("total_sessions", "total_events")),
-        "marketing_channel": G.marketing_channel(slice_, method),
+        "marketing_channel": channel,
         "product_performance": G.product_performance(slice_, method),
     }
 
@@ -172,6 +184,8 @@ def refresh_gold(
             outcomes = [refresh_one(n, f) for n, f in results.items()]
     finally:
         shared.unpersist()
+        if level is not None:
+            level.unpersist()
     suites = {n: rows for n, rows, err in outcomes if err is None}
     failures = {n: err for n, rows, err in outcomes if err is not None}
     return suites, failures

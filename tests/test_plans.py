@@ -117,3 +117,14 @@ def test_table_path_two_batches_equal_one_shot(spark):
     for name in ("marketing_channel", "product_performance"):
         got = spark.table(T.gold_table(db, name)).select(*GOLD_SPECS[name].columns)
         assert _rows(got) == _rows(G.BUILDERS[name](final)), name
+
+
+def test_rolled_up_channel_level_gives_business_and_funnel(spark):
+    silver = S.silver_clean(FX.bronze_view(spark, SF_MID))
+    level = G.stage_level(silver, G.CHANNEL.grain, True)
+    assert _rows(G.channel_from_metrics(G.stage_measures(level, G.CHANNEL.grain, True))) == \
+        _rows(G.marketing_channel(silver))
+    day = G.stage_measures(G.rollup_level(level, G.BUSINESS.grain), G.BUSINESS.grain, True)
+    assert _rows(G.business_from_metrics(day)) == _rows(G.business_metrics(silver))
+    funnel = G.funnel_from_metrics(day.drop("total_sessions", "total_events"))
+    assert _rows(funnel) == _rows(G.marketing_funnel(silver))
