@@ -18,15 +18,25 @@ from clickvault.sources.bronze import read_bronze_json
 DAY = "2026-09-19"
 
 
+def _one_minute_later(ts):
+    try:
+        return (dt.datetime.fromisoformat(ts) + dt.timedelta(minutes=1)).isoformat()
+    except (TypeError, ValueError):
+        return ts
+
+
 def row(event_id, event_type, product=None, *, user="U1", session="S1", ts=f"{DAY}T10:00:00",
         ingested=None, device="mobile", platform="web", source="google", country="India",
         **drop):
+    """One bronze record; defaults as in FIXTURES.md §6. ``drop`` names
+    columns to set to NULL (e.g. ``user_id=None``); ingestion defaults to one
+    minute after the event."""
     r = {
         "event_id": event_id,
         "user_id": user,
         "session_id": session,
         "event_timestamp": ts,
-        "ingestion_timestamp": ingested or (ts[:-5] + "01:00" if ts and len(ts) == 19 else ts),
+        "ingestion_timestamp": ingested or _one_minute_later(ts),
         "event_type": event_type,
         "product_id": product,
         "device_type": device,
