@@ -90,39 +90,46 @@ def main() -> None:
             lambda t=table: _run(G.BUILDERS[t](silver(), "distinct")), repeat
         )
 
-    # end-to-end write path on tables (each load timed once: it mutates state)
+    errors: dict[str, str] = {}
+    micro_batches = 0
     bronze = FX.bronze_view(spark, sf_dir)
-    db = "bench_db"
-    # buckets sized to the shuffle partitions (see README, cluster settings)
-    T.create_tables(spark, db, silver_buckets=int(cpus))
-    for label, batch in (("load_batch_1", FX.first_batch(bronze)),
-                         ("load_batch_2_late", FX.second_batch(bronze))):
-        t = time.perf_counter()
-        try:
-            T.load_batch(spark, batch, db)
-        except T.GoldValidationError:
-            # the fixture's random funnel has rates above 100, so range rules
-            # fail by design; Silver and the passing Gold tables are written
-            pass
-        times[label] = round(time.perf_counter() - t, 3)
+
+    # end-to-end write path on tables (each load timed once: it mutates state)
+    try:
+        db = "bench_db"
+        # buckets sized to the shuffle partitions (see README, cluster settings)
+        T.create_tables(spark, db, silver_buckets=int(cpus))
+        for label, batch in (("load_batch_1", FX.first_batch(bronze)),
+                             ("load_batch_2_late", FX.second_batch(bronze))):
+            t = time.perf_counter()
+            # the fixture's random funnel has rates above 100, so its range
+            # rules fail by design; Silver and the passing Gold tables are
+            # written and the failures only recorded
+            T.load_batch(spark, batch, db, raise_on_gold_failure=False)
+            times[label] = round(time.perf_counter() - t, 3)
+    except Exception as e:  # keep the one-line report even if this part fails
+        errors["load_batch"] = f"{type(e).__name__}: {e}"[:300]
 
     # the streaming path: the same rows landed as one JSON file per ingestion
     # day, picked up 8 files per micro-batch (landing not timed)
-    from pyspark.sql import functions as F
-
-    from clickvault.streaming.pickup import start_pickup
-
-    landing = os.path.join(scratch, "landing")
-    day = F.to_date(F.col("ingestion_timestamp").try_cast("timestamp_ntz"))
-    (bronze.withColumn("ingestion_day", day).repartition("ingestion_day")
-     .write.partitionBy("ingestion_day").json(landing))
-    T.create_tables(spark, "stream_db", silver_buckets=int(cpus))
-    t = time.perf_counter()
-    q = start_pickup(spark, landing, "stream_db", max_files_per_trigger=8,
-                     checkpoint_location=os.path.join(scratch, "stream_ckpt"))
-    q.awaitTermination()
-    times["stream_daily_replay"] = round(time.perf_counter() - t, 3)
-    micro_batches = len(q.reports)
+    try:
+        from pyspark.sql import functions as F
+
+        from clickvault.streaming.pickup import start_pickup
+
+        landing = os.path.join(scratch, "landing")
+        day = F.to_date(F.col("ingestion_timestamp").try_cast("timestamp_ntz"))
+        (bronze.withColumn("ingestion_day", day).repartition("ingestion_day")
+         .write.partitionBy("ingestion_day").json(landing))
+        T.create_tables(spark, "stream_db", silver_buckets=int(cpus))
+        t = time.perf_counter()
+        q = start_pickup(spark, landing, "stream_db", max_files_per_trigger=8,
+                         checkpoint_location=os.path.join(scratch, "stream_ckpt"))
+        q.awaitTermination()
+        times["stream_daily_replay"] = round(time.perf_counter() - t, 3)
+        micro_batches = len(q.reports)
+    except Exception as e:
+        errors["stream"] = f"{type(e).__name__}: {e}"[:300]
 
     headline_total = round(sum(times[n] for n in HEADLINE), 3)
     out = {
@@ -133,9 +140,13 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
         "cpus": int(cpus),
         "repeat": repeat,
-        "end_to_end_sec": round(times["load_batch_1"] + times["load_batch_2_late"], 3),
+        "end_to_end_sec": round(
+            times.get("load_batch_1", 0.0) + times.get("load_batch_2_late", 0.0), 3
+        ),
         "stream_micro_batches": micro_batches,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
