@@ -18,6 +18,7 @@ instead; the partition rewrite here gives the same final state.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -38,6 +39,7 @@ from clickvault.schemas import GOLD_SPECS, SILVER_DDL
 from clickvault.session import checkpoint_reliably
 
 SILVER_TABLE = "user_interactions_processed"
+log = logging.getLogger("clickvault")
 
 
 def silver_table(database: str) -> str:
@@ -188,6 +190,10 @@ def refresh_gold(
             level.unpersist()
     suites = {n: rows for n, rows, err in outcomes if err is None}
     failures = {n: err for n, rows, err in outcomes if err is not None}
+    for n in sorted(suites):
+        log.info("gold %s: %d date(s) refreshed, all rules passed", n, len(dates))
+    for n, err in sorted(failures.items()):
+        log.error("gold %s: left unchanged, %s", n, err)
     return suites, failures
 
 
@@ -217,13 +223,22 @@ def load_batch(
     report = BatchReport()
     if with_stage_counts:
         report.stage_counts = stage_counts(bronze).first().asDict()
+        log.info("silver stage counts: %s", report.stage_counts)
     clean, obs = silver_clean_observed(bronze)
     clean = checkpoint_reliably(with_load_timestamp(clean))
     report.observed = observed_counts(obs)  # filled by the checkpoint job
-    report.silver_suite = Q.enforce(Q.run_suite(clean, Q.SILVER_SUITE), "silver")
+    log.info("silver rows per stage: %s", report.observed)
+    try:
+        report.silver_suite = Q.enforce(Q.run_suite(clean, Q.SILVER_SUITE), "silver")
+    except Q.DataQualityError as e:
+        log.error("silver validation failed, nothing written: %s", e)
+        raise
+    for r in report.silver_suite:
+        log.info("rule %s %s: success", r["expectation"], r["kwargs"])
     report.touched_dates = upsert_partitioned_table(
         spark, silver_table(database), clean, ["event_id"], "event_date"
     )
+    log.info("silver upserted; touched dates: %s", format_manifest(report.touched_dates))
     if silver_only:
         return report
     report.gold_suites, report.gold_failures = refresh_gold(
