@@ -71,6 +71,30 @@ def main() -> None:
         a = timed(G.BUILDERS[name](events, "user_grain"))
         b = timed(G.BUILDERS[name](events, "distinct"))
         print(f"gold {name}: user_grain {a}s, count(DISTINCT) {b}s", flush=True)
+
+    # refresh of channel + business + funnel: three builds vs one rolled-up level
+    def three_builds():
+        for build in (G.marketing_channel, G.business_metrics, G.marketing_funnel):
+            build(events).write.format("noop").mode("overwrite").save()
+
+    def one_level():
+        level = G.stage_level(events, G.CHANNEL.grain, True).persist()
+        G.channel_from_metrics(G.stage_measures(level, G.CHANNEL.grain, True)) \
+            .write.format("noop").mode("overwrite").save()
+        day = G.stage_measures(G.rollup_level(level, G.BUSINESS.grain), G.BUSINESS.grain, True)
+        day = day.persist()
+        G.business_from_metrics(day).write.format("noop").mode("overwrite").save()
+        G.funnel_from_metrics(day.drop("total_sessions", "total_events")) \
+            .write.format("noop").mode("overwrite").save()
+        day.unpersist()
+        level.unpersist()
+
+    for label, fn in (("three builds", three_builds), ("one rolled-up level", one_level)):
+        fn()
+        t = time.perf_counter()
+        fn()
+        print(f"refresh channel+business+funnel, {label}: {time.perf_counter() - t:.2f}s",
+              flush=True)
     spark.stop()
 
 
