@@ -69,10 +69,3 @@ def refresh_gold_frame(
 def merge_gold_frame(old_gold: DataFrame, source_gold: DataFrame, table: str) -> DataFrame:
     """The reference's Gold MERGE: update matched grains, insert new ones, never delete."""
     return merge_frames(old_gold, source_gold, GOLD_SPECS[table].grain)
-
-
-def empty_dates(dates: DataFrame, new_silver: DataFrame) -> DataFrame:
-    """Touched dates that no longer hold any Silver row."""
-    present = new_silver.select("event_date").distinct()
-    touched = dates.select("event_date").distinct()
-    return touched.join(F.broadcast(present), "event_date", "left_anti")

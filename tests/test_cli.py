@@ -21,6 +21,13 @@ def test_load_then_refresh(spark, scratch, capsys):
         ["business_metrics", "marketing_funnel", "marketing_channel", "product_performance"])
     assert '"refreshed"' in capsys.readouterr().out
 
+    # analysts query the tables with SQL through registered views
+    from clickvault.plans import analyst_sql as AS
+
+    AS.register_table_views(spark, db)
+    days = AS.run(spark, "days_by_purchasers").collect()
+    assert [(str(r.event_date), r.purchasers) for r in days] == [("2026-09-19", 1)]
+
 
 def test_separate_gold_database(spark, scratch):
     silver_db, gold_db = "s_" + uuid.uuid4().hex[:8], "g_" + uuid.uuid4().hex[:8]
