@@ -42,3 +42,21 @@ def test_fixture_stage_counts(spark):
         "after_mandatory_nulls": 989,
         "after_product_rule": 987,
     }
+
+
+def test_fixture_measurements_sf001(spark):
+    """The figures FIXTURES.md §5 records for the adapter at sf0.01."""
+    from conftest import SF_MID
+
+    counts = QUERIES["silver_stage_counts"](spark, SF_MID).first().asDict()
+    assert list(counts.values()) == [10200, 100, 10100, 100, 10000, 9890, 9877]
+    nulls = QUERIES["null_profile"](spark, SF_MID).first().asDict()
+    assert (nulls["event_timestamp"], nulls["session_id"], nulls["user_id"]) == (10, 50, 50)
+    late = {}
+    for r in QUERIES["late_arrival_profile"](spark, SF_MID).collect():
+        late[r.days_late] = late.get(r.days_late, 0) + r.events
+    assert late == {0: 9620, 1: 7, 2: 250}
+    rows = {n: QUERIES[n](spark, SF_MID).count() for n in (
+        "gold_business_metrics", "gold_marketing_funnel", "gold_marketing_channel",
+        "gold_product_performance")}
+    assert list(rows.values()) == [120, 120, 840, 4590]
