@@ -260,3 +260,23 @@ def test_empty_batch_changes_nothing(spark, scratch):
     assert len(_silver_rows(spark, db)) == 6
     after = sorted(tuple(r) for r in spark.table(T.gold_table(db, "business_metrics")).collect())
     assert after == before
+
+
+def test_bucketed_upsert_writes_one_file_per_bucket_and_date(spark, scratch):
+    import glob
+
+    db = "bf_" + uuid.uuid4().hex[:8]
+    T.create_tables(spark, db, silver_buckets=16)
+    T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
+    b2 = [row("EVT002", "product_view", "P0001", country="Brazil", ingested="2026-09-20T08:00:00"),
+          row("EVT012", "product_view", "P0003", ts="2026-09-18T23:00:00",
+              ingested="2026-09-20T08:00:00")]
+    T.load_batch(spark, read_bronze_json(spark, land(scratch, b2)), db)
+    silver = _silver_rows(spark, db)
+    assert len(silver) == 7 and silver["EVT002"].country == "Brazil"
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {T.silver_table(db)}").where(
+        "col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    for part in glob.glob(os.path.join(location, "event_date=*")):
+        files = glob.glob(os.path.join(part, "*.parquet"))
+        # at most one file per bucket, and no more than rows in the date
+        assert 0 < len(files) <= 16, (part, len(files))
