@@ -280,3 +280,26 @@ def test_bucketed_upsert_writes_one_file_per_bucket_and_date(spark, scratch):
         files = glob.glob(os.path.join(part, "*.parquet"))
         # at most one file per bucket, and no more than rows in the date
         assert 0 < len(files) <= 16, (part, len(files))
+
+
+def test_bucketed_merge_plan_moves_only_the_batch(spark, scratch):
+    from clickvault.operators.upsert import merge_by_join
+
+    db = "bm_" + uuid.uuid4().hex[:8]
+    T.create_tables(spark, db, silver_buckets=16)
+    T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
+    batch = S.with_load_timestamp(S.silver_clean(read_bronze_json(spark, land(scratch, batch1()))))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_by_join(spark.table(T.silver_table(db)), batch, ["event_id"])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            merged.explain()
+        lines = buf.getvalue().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    join = next(i for i, ln in enumerate(lines) if "FullOuter" in ln)
+    scan = next(i for i, ln in enumerate(lines) if "user_interactions_processed" in ln)
+    assert "Bucketed: true" in lines[scan]
+    assert not any("Exchange" in ln for ln in lines[join:scan])
