@@ -13,7 +13,10 @@ so no unchecked broadcast is forced here.
 
 On tables the engine has no row-level MERGE for plain Parquet, so
 ``upsert_partitioned_table`` rewrites only the partitions the batch touches
-(dynamic partition overwrite) and drops partitions the merge empties.
+(dynamic partition overwrite) and drops partitions the merge empties. When
+the table is bucketed by the merge key, the merge is written as a full
+outer join instead (``merge_by_join``): the table side is read without a
+shuffle and the result stays bucket-partitioned up to the write.
 """
 
 from __future__ import annotations
