@@ -60,3 +60,27 @@ def test_fixture_measurements_sf001(spark):
         "gold_business_metrics", "gold_marketing_funnel", "gold_marketing_channel",
         "gold_product_performance")}
     assert list(rows.values()) == [120, 120, 840, 4590]
+
+
+ROUNDING_QUERIES = sorted(
+    n for n in ORACLES
+    if n.startswith(("gold_", "rate_", "funnel_rates", "upsert_gold", "best_product"))
+)
+
+
+@pytest.fixture(scope="module")
+def duck_mid():
+    from clickvault.oracle.compare import duck_connect
+    from conftest import SF_MID
+
+    return duck_connect(SF_MID)
+
+
+@pytest.mark.parametrize("name", ROUNDING_QUERIES)
+def test_rate_queries_match_oracle_sf001(spark, duck_mid, name):
+    """Rates and their rounding at the driver's correctness scale (sf0.01)."""
+    from conftest import SF_MID
+
+    ok, msg = compare(spark, duck_mid, QUERIES[name], ORACLES[name], SF_MID,
+                      strict_order=True, exact_types=True)
+    assert ok, f"{name}: {msg}"
