@@ -199,20 +199,11 @@ def product_performance(silver: DataFrame, method: str = "user_grain") -> DataFr
     df = silver.where(F.col("product_id").isNotNull())
     pv = _is(PRODUCT_VIEW)
     if method == "user_grain":
-        level = df.groupBy(*grain, "user_id").agg(
+        level = df.groupBy(*grain, F.col("user_id").alias("_v")).agg(
             F.count_if(pv).alias("_views"),
             *[F.bool_or(_is(s)).alias(n) for n, s in STAGES.items()],
         )
-        user = F.col("user_id").isNotNull()
-        agg = level.groupBy(*grain).agg(
-            F.count_if(user & F.col("product_viewers")).alias("unique_product_viewers"),
-            F.coalesce(F.sum(F.when(user, F.col("_views"))), F.lit(0)).alias(
-                "total_product_views"
-            ),
-            F.count_if(user & F.col("cart_users")).alias("unique_cart_users"),
-            F.count_if(user & F.col("checkout_users")).alias("unique_checkout_users"),
-            F.count_if(user & F.col("purchasers")).alias("unique_purchasers"),
-        )
+        agg = product_measures(level)
     elif method == "distinct":
         u = F.col("user_id")
         agg = df.groupBy(*grain).agg(
@@ -224,6 +215,23 @@ def product_performance(silver: DataFrame, method: str = "user_grain") -> DataFr
         )
     else:
         raise ValueError(f"unknown method {method!r}")
+    return product_from_metrics(agg)
+
+
+def product_measures(level: DataFrame) -> DataFrame:
+    """Product grain from (date, country, product, user ``_v``) rows with
+    ``_views`` and the stage flags."""
+    user = F.col("_v").isNotNull()
+    return level.groupBy(*PRODUCT.grain).agg(
+        F.count_if(user & F.col("product_viewers")).alias("unique_product_viewers"),
+        F.coalesce(F.sum(F.when(user, F.col("_views"))), F.lit(0)).alias("total_product_views"),
+        F.count_if(user & F.col("cart_users")).alias("unique_cart_users"),
+        F.count_if(user & F.col("checkout_users")).alias("unique_checkout_users"),
+        F.count_if(user & F.col("purchasers")).alias("unique_purchasers"),
+    )
+
+
+def product_from_metrics(agg: DataFrame) -> DataFrame:
     rates = {
         "purchase_rate": coalesced_rate("unique_purchasers", "unique_product_viewers"),
         "avg_views_per_viewer": coalesced_rate(
