@@ -74,10 +74,11 @@ def stage_counts(bronze: DataFrame) -> DataFrame:
     product_ok = (s("event_type") != PAGE_VIEW) & s("product_id").isNotNull() | (
         s("event_type") == PAGE_VIEW
     )
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))  # noqa: E731 - 0 for an empty batch
     return per_id.agg(
-        F.sum("_rows").alias("bronze_rows"),
-        F.sum("_dup_groups").alias("exact_duplicate_groups"),
-        F.sum("_distinct_rows").alias("after_exact_dedup"),
+        total("_rows").alias("bronze_rows"),
+        total("_dup_groups").alias("exact_duplicate_groups"),
+        total("_distinct_rows").alias("after_exact_dedup"),
         F.count_if(F.col("_distinct_rows") > 1).alias("repeated_event_ids"),
         F.count(F.lit(1)).alias("after_id_dedup"),
         F.count_if(mandatory_ok).alias("after_mandatory_nulls"),

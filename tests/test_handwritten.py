@@ -255,8 +255,10 @@ def test_empty_batch_changes_nothing(spark, scratch):
     T.create_tables(spark, db)
     T.load_batch(spark, read_bronze_json(spark, land(scratch, batch1())), db)
     before = sorted(tuple(r) for r in spark.table(T.gold_table(db, "business_metrics")).collect())
-    rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, [])), db)
+    rep = T.load_batch(spark, read_bronze_json(spark, land(scratch, [])), db,
+                       with_stage_counts=True)
     assert rep.touched_dates == [] and rep.observed["bronze_rows"] == 0
+    assert set(rep.stage_counts.values()) == {0}
     assert len(_silver_rows(spark, db)) == 6
     after = sorted(tuple(r) for r in spark.table(T.gold_table(db, "business_metrics")).collect())
     assert after == before
