@@ -3,15 +3,17 @@
 import pytest
 
 import __spark_entry__ as E
+from clickvault import registry
 from clickvault.oracle.compare import compare
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 def test_every_query_has_an_oracle():
     assert sorted(QUERIES) == sorted(ORACLES)
+    assert QUERIES.items() <= E.queries().items() and ORACLES.items() <= E.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
