@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from clickvault.llm import bestfit, cotrain, host_rules, partenum, unit_dedup
+from clickvault.llm import (
+    bestfit,
+    bpe_stream,
+    cotrain,
+    host_rules,
+    onebit_ann,
+    partenum,
+    quotes,
+    unit_dedup,
+    warc,
+    wavelet,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -15,13 +26,24 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_onebit_ann(spark, sf_dir):
+    return onebit_ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op2_wavelet_shards(spark, sf_dir):
+    return wavelet.write_and_read(table(spark, sf_dir, "documents"), BYTE_BPE, 0)
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return bestfit.pack(table(spark, sf_dir, "documents"), BYTE_BPE, 1024, 2)
 
 
+def op4_warc_revisits(spark, sf_dir):
+    return warc.write_and_read(table(spark, sf_dir, "pages"), 1000)
+
+
 def op5_line_dedup(spark, sf_dir):
-    out = unit_dedup.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out
+    return unit_dedup.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op6_ngram_jaccard(spark, sf_dir):
@@ -32,10 +54,31 @@ def op7_host_rules(spark, sf_dir):
     return host_rules.host_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_streaming_bpe(spark, sf_dir):
+    return bpe_stream.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
 def op9_cotraining(spark, sf_dir):
     return cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_quotation_links(spark, sf_dir):
+    return quotes.link_conversations(table(spark, sf_dir, "conversations"))
+
+
+# The contract's rules as SQL, for the rows the operator returns beside its own verdicts.
+_WARC_SQL = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d
+  FROM pages
+), w AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+SELECT p.page_id, CAST(p.n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN w.top <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN w.top <> p.page_id THEN w.top END AS refers_to, p.url
+FROM p LEFT JOIN w ON p.d = w.d
+"""
+
 QUERIES = {f.__name__: f for f in (
-    op3_best_fit_packing, op5_line_dedup, op6_ngram_jaccard, op7_host_rules, op9_cotraining)}
-ORACLES: dict[str, str] = {}
+    op1_onebit_ann, op2_wavelet_shards, op3_best_fit_packing, op4_warc_revisits, op5_line_dedup,
+    op6_ngram_jaccard, op7_host_rules, op8_streaming_bpe, op9_cotraining, op10_quotation_links)}
+ORACLES: dict[str, str] = {"op4_warc_revisits": _WARC_SQL}
