@@ -22,6 +22,10 @@ from pyspark.sql import SparkSession
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="clickvault")
     sub = p.add_subparsers(dest="cmd", required=True)
+    p.add_argument("--silver-buckets", type=int,
+                   help="buckets of a Silver table that is created by this run")
+    p.add_argument("--daily-bytes", type=int,
+                   help="expected Silver volume a day, to choose the buckets from")
     load = sub.add_parser("load", help="load one landed bronze batch")
     load.add_argument("--database", required=True)
     load.add_argument("--input", required=True, nargs="+")
@@ -44,12 +48,18 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     from clickvault.plans import tables as T
+    from clickvault.session import silver_buckets_for
     from clickvault.sources.bronze import read_bronze_json
     from clickvault.streaming.pickup import start_pickup
 
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"clickvault-{args.cmd}").getOrCreate()
-    T.create_tables(spark, args.database, gold_database=args.gold_database)
+    buckets = args.silver_buckets
+    if buckets is None and args.daily_bytes is not None:
+        buckets = silver_buckets_for(args.daily_bytes)
+    T.create_tables(
+        spark, args.database, silver_buckets=buckets, gold_database=args.gold_database
+    )
     if args.cmd == "load":
         rep = T.load_batch(
             spark,
@@ -85,7 +95,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             gold_database=args.gold_database,
         )
         q.awaitTermination()
-        out = {"batches": len(q.reports)}
+        failures = [(i, t, str(e)) for i, r in enumerate(q.reports)
+                    for t, e in sorted(r.gold_failures.items())]
+        out = {
+            "batches": len(q.reports),
+            "gold_failures": {f"batch {i}: {t}": e for i, t, e in failures},
+        }
     print(json.dumps(out, default=str))
     if out.get("gold_failures"):
         out["exit_code"] = 2
@@ -95,6 +110,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 if __name__ == "__main__":
     import logging
 
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s | %(levelname)s | %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(asctime)s %(name)s: %(message)s")
     result = main()
     sys.exit(result.get("exit_code", 0))

@@ -89,8 +89,9 @@ def drop_null_mandatory(df: DataFrame, mandatory=SILVER_MANDATORY) -> DataFrame:
 
 def product_rule(df: DataFrame) -> DataFrame:
     """Keep page views always, other events only when they carry a product."""
-    is_pv = F.col("event_type") == PAGE_VIEW
-    return df.where((~is_pv & F.col("product_id").isNotNull()) | is_pv)
+    # an event without a type is no page view and needs a type to be kept
+    typed = F.col("event_type").isNotNull()
+    return df.where(typed & ((F.col("event_type") == PAGE_VIEW) | F.col("product_id").isNotNull()))
 
 
 def product_rule_violations(df: DataFrame) -> DataFrame:

@@ -5,18 +5,16 @@ NOT MATCHED INSERT``: a source row replaces the target row with the same
 key, other source rows are inserted, target rows without a partner stay.
 Keys match with ``=``, so a NULL key never matches.
 
-As a DataFrame that is ``target ANTI JOIN source ON key UNION source``.
-Spark plans the anti join as a broadcast hash join when the source side's
-key set is under ``spark.sql.autoBroadcastJoinThreshold`` (statically or,
-with AQE, from the real shuffle size) and as a sort-merge join otherwise,
-so no unchecked broadcast is forced here.
+As a DataFrame that is one full outer join on the keys, whatever the layout
+of the target, so a merge means the same for frames, plain and bucketed
+tables: a target key that is there twice is replaced twice, as SQL
+``MERGE ... UPDATE`` does.
 
 On tables the engine has no row-level MERGE for plain Parquet, so
 ``upsert_partitioned_table`` rewrites only the partitions the batch touches
 (dynamic partition overwrite) and drops partitions the merge empties. When
-the table is bucketed by the merge key, the merge is written as a full
-outer join instead (``merge_by_join``): the table side is read without a
-shuffle and the result stays bucket-partitioned up to the write.
+the table is bucketed by the merge key, the join reads the table side without
+a shuffle and the result stays bucket-partitioned up to the write.
 """
 
 from __future__ import annotations
@@ -30,24 +28,13 @@ from clickvault.session import checkpoint_reliably
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Final state of ``target`` after merging ``source`` on ``keys``."""
-    kept = target.join(source.select(*keys), on=list(keys), how="left_anti")
-    # a join on names moves the keys to the front; keep the target's layout
-    return kept.select(*target.columns).unionByName(source.select(*target.columns))
-
-
-def merge_by_join(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Same result as ``merge_frames``, as one full outer join on the keys.
-
-    On a table bucketed by the keys the join reads the table side without a
-    shuffle and its output stays partitioned by bucket, so the merged rows
-    can be written back without the repartition the union form needs. A
-    marker column tells source rows apart, so a NULL-key source row (which
-    matches nothing) still comes out as itself. The two forms agree when the
-    target's keys are unique, which holds for Silver (event_id) and Gold
-    (grain). If a key were duplicated in the target, this form replaces each
-    matching row, as SQL ``MERGE ... UPDATE`` does, while ``merge_frames``
-    keeps a single row.
+    """Final state of ``target`` after merging ``source`` on ``keys``.
+
+    One full outer join on the keys. On a table bucketed by the keys it reads
+    the table side without a shuffle and its output stays partitioned by
+    bucket, so the merged rows can be written back without another. A marker
+    column tells source rows apart, so a NULL-key source row (which matches
+    nothing) still comes out as itself.
     """
     cols = target.columns
     t = target.alias("_t")
@@ -94,6 +81,21 @@ def _sql_literal(v) -> str:
     return "'" + str(v).replace("'", "''") + "'"
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def require_dynamic_overwrite(spark: SparkSession) -> None:
+    """Make ``insertInto(overwrite=True)`` of this session replace only the partitions written.
+
+    The writer option of that name has no effect on ``insertInto``; the session's
+    default (static) would empty the whole table first. It stays set: writes of
+    other threads of the session need it too.
+    """
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    if spark.conf.get(OVERWRITE_MODE).lower() != "dynamic":
+        raise RuntimeError(f"{OVERWRITE_MODE} must be dynamic")
+
+
 def table_columns(spark: SparkSession, table: str) -> list[str]:
     return spark.table(table).columns
 
@@ -144,7 +146,8 @@ def overwrite_partitions(
         # of the advisory size and merges small ones, so each date gets a
         # few right-sized files instead of one file per (task, date)
         out = out.hint("rebalance", partition_col)
-    out.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    require_dynamic_overwrite(out.sparkSession)
+    out.write.insertInto(table, overwrite=True)
     emptied = [v for v in touched if v not in present]
     for v in emptied:
         spark.sql(
@@ -181,14 +184,10 @@ def upsert_partitioned_table(
     if not touched:
         return []
     slice_ = target.where(F.col(partition_col).isin(touched))
+    merged = checkpoint_reliably(merge_frames(slice_, source, keys))
     buckets = table_buckets(spark, table)
-    if buckets and buckets[1] == list(keys):
-        # bucketed by the merge key: a full outer join keeps the bucket
-        # partitioning, so only the batch moves and the write needs no shuffle
-        merged = checkpoint_reliably(merge_by_join(slice_, source, keys))
-        aligned = _num_partitions(merged) == buckets[0]
-    else:
-        merged = checkpoint_reliably(merge_frames(slice_, source.select(*slice_.columns), keys))
-        aligned = False
+    # bucketed by the merge key: the join keeps the bucket partitioning, so only
+    # the batch moves and the write needs no shuffle
+    aligned = bool(buckets) and buckets[1] == list(keys) and _num_partitions(merged) == buckets[0]
     overwrite_partitions(spark, table, merged, partition_col, touched, bucket_aligned=aligned)
     return touched

@@ -71,9 +71,7 @@ def stage_counts(bronze: DataFrame) -> DataFrame:
     for c in SILVER_MANDATORY:
         if c != "event_id":
             mandatory_ok = mandatory_ok & s(c).isNotNull()
-    product_ok = (s("event_type") != PAGE_VIEW) & s("product_id").isNotNull() | (
-        s("event_type") == PAGE_VIEW
-    )
+    product_ok = (s("event_type") == PAGE_VIEW) | s("product_id").isNotNull()
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))  # noqa: E731 - 0 for an empty batch
     return per_id.agg(
         total("_rows").alias("bronze_rows"),
@@ -84,8 +82,3 @@ def stage_counts(bronze: DataFrame) -> DataFrame:
         F.count_if(mandatory_ok).alias("after_mandatory_nulls"),
         F.count_if(mandatory_ok & product_ok).alias("after_product_rule"),
     )
-
-
-def touched_dates(clean_batch: DataFrame) -> DataFrame:
-    """Distinct event dates of a cleaned batch."""
-    return clean_batch.select("event_date").distinct()

@@ -50,14 +50,11 @@ def gold_table(database: str, name: str) -> str:
     return f"{database}.{name}"
 
 
-DEFAULT_SILVER_BUCKETS = 16
-
-
 def create_tables(
     spark: SparkSession,
     database: str,
     location: str | None = None,
-    silver_buckets: int | None = DEFAULT_SILVER_BUCKETS,
+    silver_buckets: int | None = None,
     gold_database: str | None = None,
 ) -> None:
     """Create the database, the Silver table and the four Gold tables if absent.
@@ -66,7 +63,8 @@ def create_tables(
     joins every batch with Silver on event_id, and with both sides bucketed
     the same way only the batch is shuffled, never the table. Size the
     buckets so one bucket of one day is a good file size, e.g. daily volume
-    / 128 MB (a few thousand at 100 TB a year). ``None`` disables bucketing.
+    / 128 MB (``session.silver_buckets_for``; a few thousand at 100 TB a year).
+    ``None``, the default, leaves Silver without buckets.
     Gold tables go to ``gold_database`` when given (Silver and Gold kept in
     separate databases), else next to Silver.
     """

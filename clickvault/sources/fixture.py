@@ -140,26 +140,7 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a source that has fewer splits than the cluster has cores.
-
-    A small table stored as one Parquet row group is read by a single task,
-    and everything up to the first shuffle (the adapter, the cleaning and
-    the map side of the id de-duplication) would then run on one core. A
-    table with at least as many splits as cores, the normal case at scale,
-    is returned unchanged, so no shuffle is added there.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no data is read
-    except Exception:  # e.g. a Spark Connect session: leave the scan as it is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def bronze_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows for a test-data scale directory."""
     events = load_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return bronze_from_events(spread_small_input(events, "event_id"))
+    return bronze_from_events(events)

@@ -285,7 +285,7 @@ def test_bucketed_upsert_writes_one_file_per_bucket_and_date(spark, scratch):
 
 
 def test_bucketed_merge_plan_moves_only_the_batch(spark, scratch):
-    from clickvault.operators.upsert import merge_by_join
+    from clickvault.operators.upsert import merge_frames
 
     db = "bm_" + uuid.uuid4().hex[:8]
     T.create_tables(spark, db, silver_buckets=16)
@@ -294,7 +294,7 @@ def test_bucketed_merge_plan_moves_only_the_batch(spark, scratch):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        merged = merge_by_join(spark.table(T.silver_table(db)), batch, ["event_id"])
+        merged = merge_frames(spark.table(T.silver_table(db)), batch, ["event_id"])
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             merged.explain()

@@ -78,16 +78,6 @@ def test_silver_is_one_shuffle_with_map_side_combine(spark):
     assert read in plan
 
 
-def test_single_split_source_is_spread(spark):
-    events = FX.load_table(spark, SF_SMALL, "events")
-    assert events.rdd.getNumPartitions() == 1
-    spread = FX.spread_small_input(events, "event_id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    # a source with enough splits is left alone
-    wide = events.repartition(spark.sparkContext.defaultParallelism)
-    assert FX.spread_small_input(wide, "event_id") is wide
-
-
 def test_gold_plan_has_no_expand(spark):
     silver = S.silver_clean(FX.bronze_view(spark, SF_SMALL))
     assert "Expand" not in _plan(G.business_metrics(silver))
