@@ -1,23 +1,27 @@
 """Token ids by the ``tokenizers`` library, with a memo for repeated pieces of text.
 
 A text is cut before each space that follows a character that is not white
-space. The byte-level pre-tokenizer always has a boundary there, so every
-piece is encoded alike wherever it stands and its ids can be remembered; the
-library itself encodes each piece that is not in the memo. The memo is bounded.
+space, around single line breaks, and before full stops and commas that end a
+piece after a letter or digit. The byte-level pre-tokenizer always has a boundary
+there, so every piece is encoded alike wherever it stands and its ids can be
+remembered; the library itself encodes each piece that is not in the memo. The
+memo is bounded.
 """
 
 from __future__ import annotations
 
-import json
 import re
 from functools import lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 700_000
 MEMO_PIECE = 64  # longer pieces are not remembered
+LEARN = 20_000  # new pieces encoded in one call
 _CUT = re.compile(r"(?<=\S) ")
+TAIL = ".,"
+BARE = "\r"  # marks a piece that has no space before it
 
 
 class MemoEncoder:
@@ -27,70 +31,117 @@ class MemoEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
-        self.opens = np.zeros(max(vocab.values()) + 2, bool)  # ids whose token starts with a space
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids whose token starts with a space
         for t, i in vocab.items():
             self.opens[i] = t.startswith("Ġ")
-        self.plain: dict[str, bytes] = {}  # piece without its leading space -> ids with it
-        self.whole: dict[str, bytes] = {}  # piece as it stands
+        self.newline = self._array("\n")
+        self.start()
+        self.odd: dict[str, bytes] = {}  # other pieces, as they stand
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def start(self) -> None:
+        #: piece -> ids with a space before it; BARE + piece -> ids as it stands; the line break
+        self.memo: dict[str, bytes] = {"\n": self.newline.tobytes()}
+
+    def _array(self, text: str) -> np.ndarray:
+        return np.array(
+            self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _as_is(self, piece: str) -> bytes:
-        v = self.whole.get(piece)
+        v = self.odd.get(piece)
         if v is None:
-            v = self._ids(piece) if piece else b""
+            v = self._array(piece).tobytes() if piece else b""
             if len(piece) <= MEMO_PIECE:
-                if len(self.whole) >= MEMO_ENTRIES:
-                    self.whole.clear()
-                self.whole[piece] = v
+                if len(self.odd) >= MEMO_ENTRIES // 4:
+                    self.odd.clear()
+                self.odd[piece] = v
         return v
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces, each with a space before it, in one call."""
-        if len(self.plain) + len(pieces) > MEMO_ENTRIES:
-            self.plain.clear()
-        ids = np.array(
-            self.tok.encode(" " + " ".join(pieces), add_special_tokens=False).ids, "<u4")
-        at = np.flatnonzero(self.opens[np.minimum(ids, len(self.opens) - 1)])
-        if len(at) == len(pieces):
-            for p, a, b in zip(pieces, at.tolist(), [*at[1:].tolist(), len(ids)]):
-                self.plain[p] = ids[a:b].tobytes()
+    def _learn(self, keys: list[str], bare: bool) -> None:
+        """Encode new pieces together: each after a space, or each on a line of its own."""
+        pieces = [k[1:] for k in keys] if bare else keys
+        ids = self._array("\n".join(pieces) if bare else " " + " ".join(pieces))
+        if bare:
+            ends = np.flatnonzero(ids == self.newline[0]) if len(self.newline) == 1 else []
+            bounds = [(a, b) for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(ids)])]
         else:
-            for p in pieces:
-                self.plain[p] = self._ids(" " + p)
+            at = np.flatnonzero(self.opens[ids])
+            bounds = list(zip(at, [*at[1:], len(ids)]))
+        if len(bounds) != len(keys):  # a piece was not what it seemed: one by one
+            for k, p in zip(keys, pieces):
+                self.memo[k] = self._array(p if bare else " " + p).tobytes()
+            return
+        for k, (a, b) in zip(keys, bounds):
+            self.memo[k] = ids[a:b].tobytes()
+
+    def _core(self, key: str) -> str:
+        """The key without a tail that is a token run of its own."""
+        core = key.rstrip(TAIL)
+        return core if core[-1:].isalnum() else key
+
+    def _value(self, key: str) -> bytes:
+        v = self.memo.get(key)
+        if v is not None:
+            return v
+        core = self._core(key)
+        v = self.memo.get(core)
+        if v is None:
+            v = self._as_is(core[1:] if core[0] == BARE else " " + core)
+        if len(core) < len(key):
+            v += self._as_is(key[len(core):])
+            if len(key) <= MEMO_PIECE:
+                self.memo[key] = v
+        return v
+
+    def _odd_text(self, text: str) -> bytes:
+        """A text with other white space than single spaces and line breaks between words."""
+        first, *rest = _CUT.split(text)
+        out = [self._as_is(first)]
+        for p in rest:
+            # a piece without white space is a key of the memo too
+            plain = p and not any(map(str.isspace, p))
+            out.append(self._value(p) if plain else self._as_is(" " + p))
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut, new = [], set()
-        get = self.plain.__contains__
+        if len(self.memo) > MEMO_ENTRIES:
+            self.start()
+        get = self.memo.get
+        rows: list = []
+        plain, bare = set(), set()
         for t in texts:
-            pieces = t.split(" ")
-            missing = [p for p in pieces[1:] if not get(p)]
-            # a cut is only valid after a character that is not white space
-            if not pieces[0] and len(pieces) > 1 or pieces[0][-1:].isspace() or any(
-                    not p or p[-1].isspace() for p in missing):
-                cut.append(None)
-                continue
-            new.update(missing)
-            cut.append(pieces)
-        todo = sorted(new)
-        for i in range(0, len(todo), 50_000):
-            if i and len(self.plain) + 50_000 > MEMO_ENTRIES:
-                break  # the rest one by one, below
-            self._learn(todo[i : i + 50_000])
+            odd = BARE in t
+            keys = (BARE + t.replace("\n", " \n " + BARE)).split(" ")
+            vals = list(map(get, keys))
+            # no ids are empty, so all() finds what is not known
+            at = [] if all(vals) else [i for i, v in enumerate(vals) if v is None]
+            new = {keys[i] for i in at}
+            for k in new:
+                # a cut holds only between characters that are not white space
+                if not k or k == BARE or k[-1].isspace() or k[0] == BARE and k[1].isspace():
+                    odd = True
+                    break
+            if odd:
+                keys = None
+                new = {p for p in t.split() if p not in self.memo}
+            for k in new:
+                core = self._core(k)
+                if core not in self.memo and len(core) <= MEMO_PIECE and (
+                        core.isalnum() or not any(map(str.isspace, core[1:]))):
+                    (bare if core[0] == BARE else plain).add(core)
+            rows.append((t, keys, vals, at))
+        for kind, keys in ((False, plain), (True, bare)):
+            todo = sorted(keys)
+            for i in range(0, len(todo), LEARN):
+                self._learn(todo[i : i + LEARN], kind)
         out = []
-        for t, pieces in zip(texts, cut):
-            if pieces is None:
-                first, *rest = _CUT.split(t)
-                out.append(self._as_is(first) + b"".join([self._as_is(" " + p) for p in rest]))
+        for t, keys, vals, at in rows:
+            if keys is None:
+                out.append(self._odd_text(t))
                 continue
-            vals = list(map(self.plain.get, pieces[1:]))
-            if None in vals:
-                vals = [self._as_is(" " + p) if v is None else v
-                        for p, v in zip(pieces[1:], vals)]
-            out.append(self._as_is(pieces[0]) + b"".join(vals))
+            for i in at:
+                vals[i] = self._value(keys[i])
+            out.append(b"".join(vals))
         return out
 
 
