@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import ship_package
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 400_000
 MEMO_PIECE = 64
 WINDOW_CHARS = 1 << 20
 
@@ -84,6 +84,14 @@ class MergeList:
         self.inner, self.last = inner, last if self.suffix else inner
         #: Places that the encoding of any longer word may still pass through.
         self.lookahead = max(map(len, [*inner, *last]))
+        # longest token of each kind that ends in the same three symbols
+        self.longest: dict[int, dict[str, int]] = {}
+        for kind in (inner, last):
+            ends: dict[str, int] = {}
+            for t in kind:
+                if len(t) > 2:
+                    ends[t[-3:]] = max(ends.get(t[-3:], 0), len(t))
+            self.longest[id(kind)] = ends
         self._fits: dict[tuple[int, int], bool] = {}
         self._whole: dict[int, bool] = {}
         self.symbols = {i: [self.inner[c] for c in t] for t, i in inner.items()
@@ -139,7 +147,8 @@ class Transducer:
     def _step(self, tokens: dict[str, int]) -> None:
         m, text, path = self.m, self.text, self.path
         end = len(text)
-        for n in range(min(end, m.lookahead), 0, -1):
+        most = m.longest[id(tokens)].get(text[-3:], 2)
+        for n in range(most if most < end else end, 0, -1):
             t = tokens.get(text[end - n :])
             if t is None or not m.whole(t):
                 continue
@@ -221,7 +230,25 @@ class StreamEncoder:
                 self.words[word] = v
         return v
 
+    def _plain(self, piece: str) -> bytes | None:
+        """ids of ASCII letters and a tail of full stops and commas: two words without a search."""
+        core = piece.rstrip(".,")
+        if not core.isascii() or not core.isalpha():
+            return None
+        v = self.encode_word(core.lower())
+        return v if len(core) == len(piece) else v + self.encode_word(piece[len(core):])
+
     def encode_piece(self, piece: str) -> bytes:
+        v = self._plain(piece)
+        if v is None:
+            v = self._search(piece)
+        if len(piece) <= MEMO_PIECE:
+            if len(self.pieces) >= MEMO_ENTRIES:
+                self.pieces.clear()
+            self.pieces[piece] = v
+        return v
+
+    def _search(self, piece: str) -> bytes:
         out = []
         for k, part in enumerate(self.special.split(piece)):
             if k % 2:
@@ -234,12 +261,7 @@ class StreamEncoder:
             else:
                 part = part.lower()
             out += [self.encode_word(w) for w in self.word.findall(part)]
-        v = b"".join(out)
-        if len(piece) <= MEMO_PIECE:
-            if len(self.pieces) >= MEMO_ENTRIES:
-                self.pieces.clear()
-            self.pieces[piece] = v
-        return v
+        return b"".join(out)
 
     def encode(self, text: str):
         """Parts of the text's ids, window by window."""
@@ -252,8 +274,8 @@ class StreamEncoder:
             # a line break separates words as a space does
             pieces = text[at:end].replace("\n", " ").split(" ")
             vals = list(map(self.pieces.get, pieces))
-            if None in vals:
-                vals = [self.encode_piece(p) if v is None else v for p, v in zip(pieces, vals)]
+            for i in [i for i, v in enumerate(vals) if v is None]:
+                vals[i] = self.encode_piece(pieces[i])
             yield b"".join(vals)
             at = end
 
