@@ -132,14 +132,16 @@ def _apply(schema: T.StructType, min_words: int, kind: str):
     return run
 
 
-def repeated_units(docs: DataFrame, kind: str = "line") -> DataFrame:
+def repeated_units(docs: DataFrame, sc: Scratch, kind: str = "line") -> DataFrame:
     """(doc_id, n) of every unit occurrence but the earliest of its digest."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _unit_rows(kind), "doc_id long, n long, words long, digest binary")
+    rows = sc.write(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        _unit_rows(kind), "doc_id long, n long, words long, digest binary"), "rows")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "n")
     # counts and minima combine on the map side: a digest in a third of all rows is one row a task
     again = (rows.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("k"))
              .where("k > 1").select("digest", "first"))
+    # written, so the join shuffles both sides itself and can split a frequent digest
+    again = sc.write(again, "again")
     return rows.join(again, "digest").where(rank != F.col("first")).select("doc_id", "n")
 
 
@@ -148,7 +150,7 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line")
     sc = Scratch(docs.sparkSession, "units")
     docs = docs.drop(*[c for c in ADDED if c in docs.columns])
     marks = sc.write(
-        repeated_units(docs, kind).groupBy("doc_id").agg(F.collect_set("n").alias("_repeats")),
+        repeated_units(docs, sc, kind).groupBy("doc_id").agg(F.collect_set("n").alias("_repeats")),
         "marks")
     key = F.col("doc_id").cast("long")
     # a null doc_id is a key like any other here
