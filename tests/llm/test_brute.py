@@ -161,8 +161,9 @@ def test_host_rates_shrink(spark):
     rows += [(f"h{i % 20}", i % 11 == 0) for i in range(4000)]
     got = {r.host: r for r in host_rules.host_rates(
         spark.createDataFrame(rows, "host string, base_failed boolean")).collect()}
-    assert got["bad"].rejected and not got["tiny"].rejected and not got["h3"].rejected
-    assert got["tiny"].shrunk_rate < 1.0
+    assert got["bad"].rejected and not got["h3"].rejected
+    # one failed document: between the mean of all hosts and its own rate
+    assert sum(b for _, b in rows) / len(rows) < got["tiny"].shrunk_rate < 1.0
 
 
 def brute_dedup(rows, min_words):
