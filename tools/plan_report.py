@@ -46,10 +46,7 @@ def main() -> None:
     print("# Physical plans of the registered queries\n")
     print(f"Static plans (AQE re-plans at run time and reuses identical shuffles) at `{sf}`.")
     print("Every query reads the `events` table through the bronze adapter; the last")
-    print("column shows the pruned scan. Each source scan is followed by one hash")
-    print("shuffle of its few columns: the test files are a single row group, so")
-    print("`spread_small_input` spreads them over the cores. A table with enough")
-    print("splits gets no such shuffle.\n")
+    print("column shows the pruned scan.\n")
     print("`Stages run` counts the stages that ran tasks for the query (from the")
     print("status tracker; skipped stages excluded): AQE reuses identical shuffles, so")
     print("branches that re-derive the same batch share one stage. `Static shuffles` counts the exchanges in")
