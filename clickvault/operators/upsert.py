@@ -12,19 +12,19 @@ tables: a target key that is there twice is replaced twice, as SQL
 
 On tables the engine has no row-level MERGE for plain Parquet, so
 ``upsert_partitioned_table`` rewrites only the partitions the batch touches
-(dynamic partition overwrite) and drops partitions the merge empties. When
+(as new versions, swapped in by the catalog) and drops partitions the merge empties. When
 the table is bucketed by the merge key, the join reads the table side without
 a shuffle and the result stays bucket-partitioned up to the write.
 """
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickvault.session import checkpoint_reliably
+from clickvault.operators import versions as V
 
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -47,13 +47,6 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     )
 
 
-def _num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()  # metadata of a materialised frame
-    except Exception:
-        return None
-
-
 def matched_partition_values(
     target: DataFrame, source: DataFrame, keys: list[str], partition_col: str
 ) -> DataFrame:
@@ -75,31 +68,6 @@ def _collect_values(df: DataFrame, column: str) -> list:
     return sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
 
 
-def _sql_literal(v) -> str:
-    if isinstance(v, dt.date):
-        return f"DATE'{v.isoformat()}'"
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-def require_dynamic_overwrite(spark: SparkSession) -> None:
-    """Make ``insertInto(overwrite=True)`` of this session replace only the partitions written.
-
-    The writer option of that name has no effect on ``insertInto``; the session's
-    default (static) would empty the whole table first. It stays set: writes of
-    other threads of the session need it too.
-    """
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
-    if spark.conf.get(OVERWRITE_MODE).lower() != "dynamic":
-        raise RuntimeError(f"{OVERWRITE_MODE} must be dynamic")
-
-
-def table_columns(spark: SparkSession, table: str) -> list[str]:
-    return spark.table(table).columns
-
-
 def table_buckets(spark: SparkSession, table: str) -> tuple[int, list[str]] | None:
     """(number of buckets, bucket columns) of a bucketed table, else None."""
     info = {
@@ -120,20 +88,22 @@ def overwrite_partitions(
     partition_col: str,
     touched: list,
     bucket_aligned: bool = False,
+    before_commit: Callable[[], None] | None = None,
 ) -> list:
     """Replace the ``touched`` partitions of ``table`` with ``new_rows``.
 
     ``new_rows`` must hold the complete new content of exactly those
-    partitions and should be materialised (checkpointed): it is read once
-    for its partition values and once for the write. Partitions left
-    without rows are dropped (dynamic overwrite alone would leave their old
-    files behind). Returns the dropped values. ``bucket_aligned`` says each
+    partitions. It is run once, into a new version of the partitions, which
+    the catalog then swaps in (``versions``): a crash at any point leaves the
+    old rows or an intent that the next run finishes. Partitions left without
+    rows are dropped. Returns the dropped values. ``bucket_aligned`` says each
     partition of ``new_rows`` already holds exactly one bucket of the table,
-    so no repartition is needed.
+    so no repartition is needed. ``before_commit`` runs when the rows are
+    staged and nothing has changed yet.
     """
-    cols = table_columns(spark, table)
-    present = set(_collect_values(new_rows, partition_col))
-    out = new_rows.select(*cols)
+    V.roll_forward(spark, table)
+    out = new_rows.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(table).schema])
     buckets = table_buckets(spark, table)
     if buckets and bucket_aligned:
         pass  # each task already holds one bucket: one file per touched date
@@ -146,16 +116,11 @@ def overwrite_partitions(
         # of the advisory size and merges small ones, so each date gets a
         # few right-sized files instead of one file per (task, date)
         out = out.hint("rebalance", partition_col)
-    require_dynamic_overwrite(out.sparkSession)
-    out.write.insertInto(table, overwrite=True)
-    emptied = [v for v in touched if v not in present]
-    for v in emptied:
-        spark.sql(
-            f"ALTER TABLE {table} DROP IF EXISTS PARTITION "
-            f"({partition_col} = {_sql_literal(v)})"
-        )
-    spark.catalog.refreshTable(table)
-    return emptied
+    version, present = V.stage(spark, table, out, partition_col, buckets)
+    if before_commit is not None:
+        before_commit()
+    emptied = V.commit(spark, table, partition_col, version, present, [str(v) for v in touched])
+    return [v for v in touched if str(v) in emptied]
 
 
 def upsert_partitioned_table(
@@ -164,16 +129,18 @@ def upsert_partitioned_table(
     source: DataFrame,
     keys: list[str],
     partition_col: str,
+    before_commit: Callable[[list], None] | None = None,
 ) -> list:
     """MERGE ``source`` into ``table`` by ``keys``; returns the touched partitions.
 
     Touched = partitions of the source rows + old partitions of matched
     rows. Only those are read (partition pruning), merged and rewritten;
-    the rest of the table is not touched. The new content is checkpointed
-    to the shared checkpoint folder before the overwrite, so a lost
-    executor during the write recomputes from the checkpoint and never from
-    the partitions being replaced.
+    the rest of the table is not touched. The merged rows are written once,
+    beside the partitions they replace, so a lost executor during the write
+    still finds the old ones. ``before_commit`` gets the touched partitions
+    before any of them changes.
     """
+    V.roll_forward(spark, table)
     # another session (e.g. an earlier micro-batch) may have rewritten files
     spark.catalog.refreshTable(table)
     target = spark.table(table)
@@ -184,10 +151,11 @@ def upsert_partitioned_table(
     if not touched:
         return []
     slice_ = target.where(F.col(partition_col).isin(touched))
-    merged = checkpoint_reliably(merge_frames(slice_, source, keys))
     buckets = table_buckets(spark, table)
-    # bucketed by the merge key: the join keeps the bucket partitioning, so only
-    # the batch moves and the write needs no shuffle
-    aligned = bool(buckets) and buckets[1] == list(keys) and _num_partitions(merged) == buckets[0]
-    overwrite_partitions(spark, table, merged, partition_col, touched, bucket_aligned=aligned)
+    # bucketed by the merge key: the join reads the table by bucket, so only the
+    # batch moves, its output has one bucket a task, and the write needs no shuffle
+    aligned = bool(buckets) and buckets[1] == list(keys)
+    overwrite_partitions(
+        spark, table, merge_frames(slice_, source, keys), partition_col, touched, aligned,
+        None if before_commit is None else lambda: before_commit(touched))
     return touched

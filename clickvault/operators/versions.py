@@ -1,0 +1,174 @@
+"""Partition versions: new content is staged beside the old, then swapped in by the catalog.
+
+A rewrite of some partitions of a table goes in steps that a re-run can finish:
+
+1. the complete new content of the partitions is written to a folder of its own,
+   ``<location>/_versions/<id>/<table>/`` (names with ``_`` are not seen as table data);
+2. an intent file (which partitions, which folder, what they replace) is put
+   beside the table by an atomic rename; from here on the rewrite counts;
+3. each partition's location is set to its new folder, emptied partitions are
+   dropped, the replaced folders are deleted, and the intent goes.
+
+A crash before 2 leaves the table as it was; a crash after it is finished by
+``roll_forward``, which every rewrite and every reader of this library calls
+first. Each step can be repeated. One writer at a time, as elsewhere here.
+Rows are written once, and a date is never without its rows. The partition
+column must not be NULL.
+
+``PendingDates`` keeps, beside the Silver table, the dates Gold has yet to see.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+VERSIONS, INTENTS, PENDING = "_versions", "_intents", "_pending"
+
+
+class Folder:
+    """Hadoop file system calls below one folder (any store that Spark reaches)."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        sc = spark.sparkContext
+        self.root, self._jvm, self._conf = root.rstrip("/"), sc._jvm, sc._jsc.hadoopConfiguration()
+        self.fs = self._path("").getFileSystem(self._conf)
+
+    def uri(self, name: str) -> str:
+        return f"{self.root}/{name}" if name else self.root
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(self.uri(name))
+
+    def names(self, name: str = "") -> list[str]:
+        p = self._path(name)
+        if not self.fs.exists(p):
+            return []
+        return sorted(s.getPath().getName() for s in self.fs.listStatus(p))
+
+    def put(self, name: str, value: dict) -> None:
+        """Write a small JSON file; it is there in full or not at all."""
+        tmp = f"{name}.{uuid.uuid4().hex}.tmp"
+        out = self.fs.create(self._path(tmp), True)
+        out.write(bytearray(json.dumps(value).encode()))
+        out.close()
+        if not self.fs.rename(self._path(tmp), self._path(name)):
+            raise OSError(f"cannot write {self.uri(name)}")
+
+    def get(self, name: str) -> dict:
+        stream = self.fs.open(self._path(name))
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def drop(self, name: str = "") -> None:
+        self.fs.delete(self._path(name), True)
+
+
+def _rows_of(table: str, version: str) -> str:
+    return f"{VERSIONS}/{version}/{table.rsplit('.', 1)[-1]}"
+
+
+def table_folder(spark: SparkSession, table: str) -> Folder:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return Folder(spark, next(r[1] for r in rows if r[0] == "Location"))
+
+
+def _locations(spark: SparkSession, table: str, column: str, values: list[str]) -> dict[str, str]:
+    """Partition value -> folder, of those ``values`` the catalog has."""
+    have = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    out = {}
+    for v in values:
+        if v in have:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({column} = '{v}')").collect()
+            # the partition's own location stands before the table's
+            out[v] = next(r[1] for r in rows if r[0] == "Location")
+    return out
+
+
+def stage(spark: SparkSession, table: str, rows: DataFrame, column: str,
+          buckets: tuple[int, list[str]] | None) -> tuple[str, list[str]]:
+    """Write ``rows`` as a new version; (version, partition values it holds)."""
+    folder, version = table_folder(spark, table), uuid.uuid4().hex
+    at = _rows_of(table, version)
+    writer = rows.write.format("parquet").partitionBy(column)
+    if buckets:
+        # files get their bucket numbers through a catalog table of the same layout
+        name = f"{table.rsplit('.', 1)[0]}.staged_{version}"
+        writer.bucketBy(buckets[0], *buckets[1]).option("path", folder.uri(at)).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")  # external: its files stay
+    else:
+        writer.save(folder.uri(at))
+    present = [n.split("=", 1)[1] for n in folder.names(at) if n.startswith(f"{column}=")]
+    return version, present
+
+
+def commit(spark: SparkSession, table: str, column: str, version: str, present: list[str],
+           touched: list[str]) -> list[str]:
+    """Record the rewrite of ``touched`` by ``version``, then carry it out; the emptied values."""
+    folder = table_folder(spark, table)
+    folder.put(f"{INTENTS}/{version}", {
+        "column": column, "present": present,
+        "emptied": sorted(set(touched) - set(present)),
+        "replaced": _locations(spark, table, column, sorted({*touched, *present}))})
+    return finish(spark, table, version)
+
+
+def finish(spark: SparkSession, table: str, version: str) -> list[str]:
+    """Carry out a recorded rewrite; may be called again after a crash."""
+    folder = table_folder(spark, table)
+    do = folder.get(f"{INTENTS}/{version}")
+    column = do["column"]
+    for v in do["present"]:
+        swap_partition(spark, table, column, v, folder.uri(f"{_rows_of(table, version)}/{column}={v}"))
+    for v in do["emptied"]:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{v}')")
+    spark.catalog.refreshTable(table)
+    for old in do["replaced"].values():
+        Folder(spark, old).drop()
+        # the folder of an old version goes with its last partition
+        top = old.rstrip("/").rsplit("/", 1)[0]
+        if f"/{VERSIONS}/" in top and set(Folder(spark, top).names()) <= {"_SUCCESS"}:
+            Folder(spark, top.rsplit("/", 1)[0]).drop()
+    folder.drop(f"{INTENTS}/{version}")
+    return do["emptied"]
+
+
+def swap_partition(spark: SparkSession, table: str, column: str, value: str, uri: str) -> None:
+    spec = f"PARTITION ({column} = '{value}')"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{uri}'")
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{uri}'")
+
+
+def roll_forward(spark: SparkSession, table: str) -> int:
+    """Finish the rewrites that a crash left open; how many there were."""
+    names = [n for n in table_folder(spark, table).names(INTENTS) if not n.endswith(".tmp")]
+    for n in names:
+        finish(spark, table, n)
+    return len(names)
+
+
+class PendingDates:
+    """Dates whose Silver rows changed and whose Gold slices are not written yet."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.folder = table_folder(spark, table)
+
+    def read(self) -> dict[str, list[str]]:
+        return {n: self.folder.get(f"{PENDING}/{n}")["dates"]
+                for n in self.folder.names(PENDING) if not n.endswith(".tmp")}
+
+    def add(self, dates: list[str]) -> None:
+        self.folder.put(f"{PENDING}/{uuid.uuid4().hex}", {"dates": sorted(dates)})
+
+    def clear(self, done: list[str]) -> None:
+        """Take ``done`` off every record; an emptied record goes."""
+        for name, dates in self.read().items():
+            left = sorted(set(dates) - set(done))
+            if left and left != sorted(dates):
+                self.add(left)
+            if left != sorted(dates):
+                self.folder.drop(f"{PENDING}/{name}")

@@ -2,13 +2,16 @@
 
 ``load_batch`` is what one landed file triggers:
 
-1. clean the bronze batch (one shuffle) and checkpoint it to the shared
-   checkpoint folder, so validation and write read it once and a lost
-   executor never re-reads the landing files;
+1. clean the bronze batch (one shuffle) and write it to a folder of its own
+   below the shared checkpoint folder, so validation and write read it once
+   and a lost executor never re-reads the landing files; the folder goes when
+   the batch is done;
 2. run the Silver suite in one pass and stop before writing if it fails;
-3. upsert into Silver, rewriting only touched ``event_date`` partitions;
+3. note the touched dates durably, then upsert into Silver, rewriting only
+   touched ``event_date`` partitions;
 4. re-aggregate the four Gold tables for the touched dates from all their
-   Silver rows, gate each on its own suite, replace those date slices.
+   Silver rows, gate each on its own suite, replace those date slices. Dates
+   that an earlier run noted and did not bring to Gold are refreshed too.
 
 Tables are Parquet, partitioned by ``event_date`` (Gold too, so a date
 slice can be replaced without touching other dates). With a catalog that
@@ -18,7 +21,9 @@ instead; the partition rewrite here gives the same final state.
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 
 from clickvault.operators import gold as G
 from clickvault.operators import quality as Q
+from clickvault.operators import versions as V
 from clickvault.operators.upsert import overwrite_partitions, upsert_partitioned_table
 from clickvault.plans.silver import (
     observed_counts,
@@ -35,8 +41,8 @@ from clickvault.plans.silver import (
     stage_counts,
     with_load_timestamp,
 )
-from clickvault.schemas import GOLD_SPECS, SILVER_DDL
-from clickvault.session import checkpoint_reliably
+from clickvault.schemas import GOLD_SPECS, SILVER_DDL, SILVER_LOAD_TS
+from clickvault.session import checkpoint_dir
 
 SILVER_TABLE = "user_interactions_processed"
 log = logging.getLogger("clickvault")
@@ -93,8 +99,6 @@ def parse_manifest(text: str | None) -> list:
     An empty or missing manifest is an error, as in the reference: a Gold
     refresh without dates would silently do nothing.
     """
-    import datetime as dt
-
     if not text or not text.strip():
         raise KeyError("the touched-date manifest is missing or empty")
     return sorted({dt.date.fromisoformat(p.strip()) for p in text.split(",") if p.strip()})
@@ -107,6 +111,7 @@ def format_manifest(dates) -> str:
 def scan_silver_dates(spark: SparkSession, database: str, dates: list) -> DataFrame:
     """Silver rows of the given dates; a partition filter, so only those
     date folders are listed and read."""
+    V.roll_forward(spark, silver_table(database))
     spark.catalog.refreshTable(silver_table(database))
     return spark.table(silver_table(database)).where(F.col("event_date").isin(list(dates)))
 
@@ -186,6 +191,8 @@ def refresh_gold(
         shared.unpersist()
         if level is not None:
             level.unpersist()
+    # written or refused by its gate: a date is no longer pending once all four have seen it
+    V.PendingDates(spark, silver_table(database)).clear([str(d) for d in dates])
     suites = {n: rows for n, rows, err in outcomes if err is None}
     failures = {n: err for n, rows, err in outcomes if err is not None}
     for n in sorted(suites):
@@ -223,9 +230,32 @@ def load_batch(
         report.stage_counts = stage_counts(bronze).first().asDict()
         log.info("silver stage counts: %s", report.stage_counts)
     clean, obs = silver_clean_observed(bronze)
-    clean = checkpoint_reliably(with_load_timestamp(clean))
-    report.observed = observed_counts(obs)  # filled by the checkpoint job
-    log.info("silver rows per stage: %s", report.observed)
+    clean = with_load_timestamp(clean)
+    batch = V.Folder(spark, f"{checkpoint_dir(spark)}/batch-{uuid.uuid4().hex}")
+    try:
+        clean.write.parquet(batch.uri("rows"))
+        report.observed = observed_counts(obs)  # filled by the write
+        log.info("silver rows per stage: %s", report.observed)
+        _load_clean(spark, spark.read.schema(clean.schema).parquet(batch.uri("rows")), database,
+                    report)
+    finally:
+        batch.drop()
+    if silver_only:
+        return report
+    pending = V.PendingDates(spark, silver_table(database))
+    # dates of a run that ended between Silver and Gold are refreshed as well
+    noted = {dt.date.fromisoformat(d) for ds in pending.read().values() for d in ds}
+    dates = sorted({*report.touched_dates, *noted})
+    report.gold_suites, report.gold_failures = refresh_gold(
+        spark, database, dates, method, gold_database=gold_database
+    )
+    if report.gold_failures and raise_on_gold_failure:
+        raise GoldValidationError(report)
+    return report
+
+
+def _load_clean(spark: SparkSession, clean: DataFrame, database: str, report: BatchReport) -> None:
+    """Gate the cleaned batch and upsert it into Silver."""
     try:
         report.silver_suite = Q.enforce(Q.run_suite(clean, Q.SILVER_SUITE), "silver")
     except Q.DataQualityError as e:
@@ -233,18 +263,12 @@ def load_batch(
         raise
     for r in report.silver_suite:
         log.info("rule %s %s: success", r["expectation"], r["kwargs"])
+    table = silver_table(database)
     report.touched_dates = upsert_partitioned_table(
-        spark, silver_table(database), clean, ["event_id"], "event_date"
+        spark, table, clean, ["event_id"], "event_date",
+        before_commit=lambda dates: V.PendingDates(spark, table).add([str(d) for d in dates]),
     )
     log.info("silver upserted; touched dates: %s", format_manifest(report.touched_dates))
-    if silver_only:
-        return report
-    report.gold_suites, report.gold_failures = refresh_gold(
-        spark, database, report.touched_dates, method, gold_database=gold_database
-    )
-    if report.gold_failures and raise_on_gold_failure:
-        raise GoldValidationError(report)
-    return report
 
 
 class GoldValidationError(Exception):

@@ -12,8 +12,8 @@ run per arrival window); ``False`` keeps polling every ``interval``.
 Restart safety: if the driver dies after a micro-batch was written but
 before the stream committed it, the batch is handed to ``load_batch`` again
 on restart. The upsert by event_id and the whole-slice Gold refresh are
-idempotent, so after a batch that was written in full the tables end up the
-same. A write that was cut off between two partitions is not rolled forward.
+idempotent, a partition swap that was cut off is finished first, and dates
+that had not reached Gold are refreshed with the batch.
 """
 
 from __future__ import annotations
