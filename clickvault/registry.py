@@ -6,6 +6,7 @@ the whole test tables of that directory (through the bronze adapter).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from clickvault.oracle import sql as O
 from clickvault.plans import analyst as A
 from clickvault.plans import refresh as R
 from clickvault.plans import silver as S
-from clickvault.schemas import GOLD_SPECS
+from clickvault.plans import tables as T
+from clickvault.schemas import GOLD_SPECS, SILVER_COLUMNS
+from clickvault.session import checkpoint_reliably, ensure_checkpoint_dir
 from clickvault.sources import fixture as FX
 from clickvault.sources.fixture import bronze_view
 
@@ -353,6 +356,34 @@ for _name, _table, _cte in [
     register(_rname, O.REPLAY + f"SELECT * FROM gf_{_cte}")(_refresh)
 
 
+# ------------------------------------------------------------- the table path
+def loaded_tables(spark, sf_dir, pick):
+    """``pick(database)`` after both batches are loaded into real tables, which then go."""
+    ensure_checkpoint_dir(spark)
+    db = "clickvault_" + uuid.uuid4().hex
+    bronze = bronze_view(spark, sf_dir)
+    T.create_tables(spark, db, silver_buckets=8)
+    try:
+        for batch in (FX.first_batch(bronze), FX.second_batch(bronze)):
+            T.load_batch(spark, batch, db, raise_on_gold_failure=False)
+        return checkpoint_reliably(pick(db))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+@register("table_path_silver", O.REPLAY + "SELECT * FROM final_silver")
+def q_table_path_silver(spark, sf_dir):
+    return loaded_tables(
+        spark, sf_dir, lambda db: spark.table(T.silver_table(db)).select(*SILVER_COLUMNS))
+
+
+@register("table_path_channel", O.REPLAY + "SELECT * FROM gf_gold_channel")
+def q_table_path_channel(spark, sf_dir):
+    return loaded_tables(
+        spark, sf_dir, lambda db: spark.table(T.gold_table(db, "marketing_channel")).select(
+            *GOLD_SPECS["marketing_channel"].columns))
+
+
 # --------------------------------------------------------- analyst questions
 def gold(spark, sf_dir, table):
     return G.BUILDERS[table](silver(spark, sf_dir))

@@ -38,6 +38,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     )
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder; a temporary one only on a local master that names none."""
+    sc = spark.sparkContext
+    try:
+        return checkpoint_dir(spark)
+    except RuntimeError:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickvault-"))
+        return sc.getCheckpointDir()
+
+
 def checkpoint_reliably(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage."""
     checkpoint_dir(df.sparkSession)
