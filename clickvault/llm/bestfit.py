@@ -26,6 +26,7 @@ null or repeated doc_id are pieces of their own like all others.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +68,7 @@ def _cut(path: str, end_id: int, capacity: int):
 
 
 MATCH, DOC, GAP = 0, 1, 2
-_SWEPT = "kind int, id long, gap long, pid int, at long"
+_SWEPT = "kind int, id long, gap long, size long, pid int, at long"
 
 
 def _sweep(batches):
@@ -78,12 +79,14 @@ def _sweep(batches):
     for batch in batches:
         is_doc = batch.column("is_doc").to_pylist()
         ids = batch.column("id").to_pylist()
-        kind, doc, gap, at = [], [], [], []
-        for d, i in zip(is_doc, ids):
+        sizes = batch.column("size").to_pylist()
+        kind, doc, gap, size, at = [], [], [], [], []
+        for d, i, n in zip(is_doc, ids, sizes):
             if not d:
                 stack.append(i)
                 continue
             doc.append(i)
+            size.append(n)
             if stack:
                 kind.append(MATCH)
                 gap.append(stack.pop())
@@ -94,18 +97,19 @@ def _sweep(batches):
                 at.append(docs)
                 docs += 1
         if kind:
-            yield _swept(kind, doc, gap, pid, at)
+            yield _swept(kind, doc, gap, size, pid, at)
     for i in range(0, len(stack), 10000):
         part = stack[i : i + 10000]
-        yield _swept([GAP] * len(part), [None] * len(part), part, pid,
-                     range(i, i + len(part)))
+        none = [None] * len(part)
+        yield _swept([GAP] * len(part), none, part, none, pid, range(i, i + len(part)))
 
 
-def _swept(kind, doc, gap, pid, at):
+def _swept(kind, doc, gap, size, pid, at):
     return pa.RecordBatch.from_arrays(
         [pa.array(kind, pa.int32()), pa.array(doc, pa.int64()), pa.array(gap, pa.int64()),
-         pa.array([pid] * len(kind), pa.int32()), pa.array(list(at), pa.int64())],
-        names=["kind", "id", "gap", "pid", "at"])
+         pa.array(size, pa.int64()), pa.array([pid] * len(kind), pa.int32()),
+         pa.array(list(at), pa.int64())],
+        names=["kind", "id", "gap", "size", "pid", "at"])
 
 
 def carry_over(counts: dict[int, tuple[int, int]]) -> dict[int, list[tuple[int, int, int, int]]]:
@@ -135,27 +139,35 @@ def carry_over(counts: dict[int, tuple[int, int]]) -> dict[int, list[tuple[int,
 
 
 def _aim(plan: dict):
-    """Left-over documents -> (id, range and number of their gap)."""
+    """Left-over documents -> (id, size, range and number of their gap; nulls when they wait)."""
+    ends = {p: [s[1] for s in segments] for p, segments in plan.items()}
+
     def run(batches):
         for batch in batches:
-            ids, pids, ats = (batch.column(c).to_pylist() for c in ("id", "pid", "at"))
-            out: list[list] = [[], [], []]
-            for i, p, a in zip(ids, pids, ats):
-                segments = plan.get(p, [])
-                k = int(np.searchsorted([s[1] for s in segments], a, side="right"))
-                if k < len(segments):
-                    first, _, q, g = segments[k]
-                    for col, v in zip(out, (i, q, g - (a - first))):
-                        col.append(v)
+            to_pid, to_at = [], []
+            for p, a in zip(batch.column("pid").to_pylist(), batch.column("at").to_pylist()):
+                k = bisect_right(ends.get(p, ()), a)
+                if p in plan and k < len(plan[p]):
+                    first, _, q, g = plan[p][k]
+                    to_pid.append(q)
+                    to_at.append(g - (a - first))
+                else:
+                    to_pid.append(None)
+                    to_at.append(None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                 pa.array(out[2], pa.int64())], names=["id", "pid", "at"])
+                [batch.column("id"), batch.column("size"), pa.array(to_pid, pa.int32()),
+                 pa.array(to_at, pa.int64())], names=["id", "size", "pid", "at"])
 
     return run
 
 
-def successor_sweep(docs: DataFrame, gaps: DataFrame, sc: Scratch, name: str, rows: int) -> DataFrame:
-    """(id, gap): documents (id, size) matched with distinct gaps (gap, size), best fit first."""
+def successor_sweep(docs: DataFrame, gaps: DataFrame, sc: Scratch, name: str,
+                    rows: int) -> tuple[DataFrame, DataFrame]:
+    """Documents (id, size) matched with distinct gaps (gap, size), best fit first.
+
+    Returns (id, gap, size) of the matched and (id, size) of those that wait;
+    only the left-overs of the ranges are shuffled again.
+    """
     spark = docs.sparkSession
     both = docs.select("size", F.lit(True).alias("is_doc"), "id").union(
         gaps.select("size", F.lit(False).alias("is_doc"), F.col("gap").alias("id")))
@@ -168,13 +180,13 @@ def successor_sweep(docs: DataFrame, gaps: DataFrame, sc: Scratch, name: str, ro
     for r in swept.where(F.col("kind") > MATCH).groupBy("pid", "kind").count().collect():
         counts.setdefault(r["pid"], [0, 0])[r["kind"] - 1] = r["count"]
     plan = carry_over({p: (c[0], c[1]) for p, c in counts.items()})
-    matched = swept.where(F.col("kind") == MATCH).select("id", "gap")
+    matched = swept.where(F.col("kind") == MATCH).select("id", "gap", "size")
+    aimed = swept.where(F.col("kind") == DOC).select("id", "size", "pid", "at").mapInArrow(
+        _aim(plan), "id long, size long, pid int, at long")
     if plan:
-        aimed = swept.where(F.col("kind") == DOC).select("id", "pid", "at").mapInArrow(
-            _aim(plan), "id long, pid int, at long")
         free = swept.where(F.col("kind") == GAP).select("gap", "pid", "at")
-        matched = matched.union(aimed.join(free, ["pid", "at"]).select("id", "gap"))
-    return matched
+        matched = matched.union(aimed.join(free, ["pid", "at"]).select("id", "gap", "size"))
+    return matched, aimed.where(F.col("pid").isNull()).select("id", "size")
 
 
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
@@ -212,20 +224,17 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         # slot numbers are below the capacity: a gap's name holds its bin and slot
         width = capacity + 1
         gaps = offers.select((F.col("bin") * width + F.col("slot")).alias("gap"), "size")
-        pairs = successor_sweep(docs, gaps, sc, f"swept-{rnd}", left["n"] + have["n"])
+        matched, waiting = successor_sweep(
+            docs, gaps, sc, f"swept-{rnd}", left["n"] + have["n"])
         now = sc.write(
-            pairs.withColumn("bin", F.expr(f"gap div {width}"))
-            .join(docs, "id").select(F.col("id").alias("uid"), "bin",
-                                     F.col("size").alias("length"), F.lit(rnd).alias("round")),
+            matched.select(F.col("id").alias("uid"), F.expr(f"gap div {width}").alias("bin"),
+                           F.col("size").alias("length"), F.lit(rnd).alias("round")),
             f"placed-{rnd}")
         parts.append(now)
-        docs = sc.write(docs.join(now.select(F.col("uid").alias("id")), "id", "left_anti"),
-                        f"docs-{rnd}")
-        used = now.groupBy("bin").agg(F.sum("length").alias("_used"))
+        docs = sc.write(waiting, f"docs-{rnd}")
         room = sc.write(
-            room.join(used, "bin", "left")
-            .select("bin", (F.col("room") - F.coalesce("_used", F.lit(0))).alias("room"))
-            .where("room > 0"), f"room-{rnd}")
+            room.union(now.select("bin", (-F.col("length")).alias("room")))
+            .groupBy("bin").agg(F.sum("room").alias("room")).where("room > 0"), f"room-{rnd}")
     every = parts[0]
     for p in parts[1:]:
         every = every.union(p)
