@@ -25,19 +25,25 @@ def quality_rules(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each group whose five-word shingles have a similarity of 0.8 or more."""
+    """One document of each group whose five-word shingles have a similarity of 0.8 or more.
+
+    Rows that repeat a doc_id are one document; a row without one is in no group and stays.
+    """
     groups = partenum.jaccard_components(docs, 80, 100, 5)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
 
 
 def substring_dedup(spark, docs, sf_dir):
     """Documents without passages that an earlier one has; emptied documents go."""
-    out = unit_dedup.dedup_units(docs)
+    own = {c: f"_own_{c}" for c in docs.columns if c in unit_dedup.ADDED}
+    out = unit_dedup.dedup_units(docs.withColumnsRenamed(own))
     whole = F.size("removed_spans") > 0
     return out.where(~whole | (F.trim("text") != "")).withColumn(
         "n_chars", F.when(whole, F.length("text")).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType)).select(*docs.columns)
+            docs.schema["n_chars"].dataType)).select(
+                *[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark, docs, sf_dir):
