@@ -73,6 +73,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         out = {
             "processed_dates": T.format_manifest(rep.touched_dates),
             "observed": rep.observed,
+            "defects": rep.defects,
+            "gold_counts": rep.gold_counts,
             "stage_counts": rep.stage_counts,
             "gold_failures": {k: str(v) for k, v in rep.gold_failures.items()},
         }
@@ -110,6 +112,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
 if __name__ == "__main__":
     import logging
 
-    logging.basicConfig(level=logging.INFO, format="%(levelname)s %(asctime)s %(name)s: %(message)s")
+    logging.basicConfig(level=logging.INFO, format="[%(name)s] %(message)s (%(levelname)s)")
     result = main()
     sys.exit(result.get("exit_code", 0))

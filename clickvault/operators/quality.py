@@ -150,9 +150,10 @@ def _to_rows(summary: DataFrame, pairs) -> DataFrame:
 class DataQualityError(Exception):
     """A suite failed; nothing of the batch may be written."""
 
-    def __init__(self, suite_name: str, failures: list):
+    def __init__(self, suite_name: str, failures: list, rows: list | None = None):
         self.suite_name = suite_name
         self.failures = failures
+        self.rows = rows or failures  # results of all rules, the passed ones too
         lines = ", ".join(
             f"{f['expectation']}({f['column_name']}): {f['unexpected_count']} unexpected"
             for f in failures
@@ -165,7 +166,7 @@ def enforce(result: DataFrame, suite_name: str) -> list[dict]:
     rows = [r.asDict() for r in result.orderBy("rule_index").collect()]
     failures = [r for r in rows if not r["success"]]
     if failures:
-        raise DataQualityError(suite_name, failures)
+        raise DataQualityError(suite_name, failures, rows)
     return rows
 
 

@@ -24,7 +24,8 @@ def silver_clean(bronze: DataFrame) -> DataFrame:
 def silver_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
     """``silver_clean`` with row counts observed after each stage.
 
-    The counts are collected by whichever action first runs the plan (the
+    Beside them: the NULLs of each mandatory column among the rows that the
+    drop sees, and the rows that break the product rule. The counts are collected by whichever action first runs the plan (the
     checkpoint in ``load_batch``), so logging them costs no extra pass. The
     duplicate-group counts of ``stage_counts`` need aggregations of their
     own and are not included.
@@ -32,8 +33,11 @@ def silver_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Obser
     obs = {n: Observation(n) for n in OBSERVED_STAGES}
     one = F.count(F.lit(1)).alias("rows")
     std = K.standardize(bronze).observe(obs["bronze_rows"], one)
-    by_id = K.dedup_by_id(std).observe(obs["after_id_dedup"], one)
-    nonnull = K.drop_null_mandatory(by_id).observe(obs["after_mandatory_nulls"], one)
+    by_id = K.dedup_by_id(std).observe(obs["after_id_dedup"], one, *[
+        F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in SILVER_MANDATORY])
+    broken = (F.col("event_type") != PAGE_VIEW) & F.col("product_id").isNull()
+    nonnull = K.drop_null_mandatory(by_id).observe(
+        obs["after_mandatory_nulls"], one, F.count_if(broken).alias("product_rule_violations"))
     kept = K.product_rule(nonnull).observe(obs["after_product_rule"], one)
     return K.fill_defaults(kept), obs
 
@@ -45,6 +49,11 @@ def observed_counts(obs: dict[str, Observation]) -> dict[str, int]:
     return {n: o.get["rows"] for n, o in obs.items()}
 
 
+def observed_defects(obs: dict[str, Observation]) -> dict[str, int]:
+    """NULLs by mandatory column and product-rule violations of the observed batch."""
+    return {k: v for o in obs.values() for k, v in o.get.items() if k != "rows"}
+
+
 def with_load_timestamp(df: DataFrame) -> DataFrame:
     """Stamp the Silver load time (session-zone timestamp)."""
     return df.withColumn(SILVER_LOAD_TS, F.current_timestamp())

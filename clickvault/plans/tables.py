@@ -37,6 +37,7 @@ from clickvault.operators import versions as V
 from clickvault.operators.upsert import overwrite_partitions, upsert_partitioned_table
 from clickvault.plans.silver import (
     observed_counts,
+    observed_defects,
     silver_clean_observed,
     stage_counts,
     with_load_timestamp,
@@ -124,6 +125,8 @@ class BatchReport:
     gold_failures: dict = field(default_factory=dict)
     stage_counts: dict | None = None
     observed: dict = field(default_factory=dict)
+    defects: dict = field(default_factory=dict)
+    gold_counts: dict = field(default_factory=dict)
 
 
 def refresh_gold(
@@ -133,6 +136,7 @@ def refresh_gold(
     method: str = "user_grain",
     parallel: bool = True,
     gold_database: str | None = None,
+    counts: dict | None = None,
 ) -> tuple[dict, dict]:
     """Replace the Gold slices of ``dates``; each table is gated on its own.
 
@@ -141,11 +145,14 @@ def refresh_gold(
     are independent, as in the reference, whose four Gold jobs run side by
     side). With ``parallel`` the four validate-and-write chains are
     submitted from threads, so their Spark jobs share the executors instead
-    of queueing one after the other.
+    of queueing one after the other. ``counts``, when given, is filled with
+    each table's rows: Silver rows of the slice, rows built, rows written.
     """
     if not dates:
         return {}, {}
     slice_ = scan_silver_dates(spark, database, dates)
+    # a pruned count of whole files, from their footers
+    slice_rows = slice_.count() if counts is not None else None
     level = None
     if method == "user_grain":
         # one pass over the events for three tables: the per-source user and
@@ -172,11 +179,18 @@ def refresh_gold(
         # checkpointing) is enough to validate and write it from one pass
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = Q.enforce(Q.run_suite(fresh, Q.SUITES[name]), name)
+            suite = Q.run_suite(fresh, Q.SUITES[name])
+            if counts is not None:
+                built = fresh.count()
+                counts[name] = {"slice_rows": slice_rows, "built": built, "written": 0}
+            rows = Q.enforce(suite, name)
             target = gold_table(gold_database or database, name)
             overwrite_partitions(spark, target, fresh, "event_date", dates)
+            if counts is not None:
+                counts[name]["written"] = built
             return name, rows, None
         except Q.DataQualityError as e:
+            _log_rules(name, e.rows)
             return name, None, e
         finally:
             fresh.unpersist()
@@ -235,7 +249,8 @@ def load_batch(
     try:
         clean.write.parquet(batch.uri("rows"))
         report.observed = observed_counts(obs)  # filled by the write
-        log.info("silver rows per stage: %s", report.observed)
+        report.defects = observed_defects(obs)
+        log.info("silver rows per stage: %s; defects: %s", report.observed, report.defects)
         _load_clean(spark, spark.read.schema(clean.schema).parquet(batch.uri("rows")), database,
                     report)
     finally:
@@ -247,8 +262,9 @@ def load_batch(
     noted = {dt.date.fromisoformat(d) for ds in pending.read().values() for d in ds}
     dates = sorted({*report.touched_dates, *noted})
     report.gold_suites, report.gold_failures = refresh_gold(
-        spark, database, dates, method, gold_database=gold_database
+        spark, database, dates, method, gold_database=gold_database, counts=report.gold_counts
     )
+    log.info("gold rows: %s", report.gold_counts)
     if report.gold_failures and raise_on_gold_failure:
         raise GoldValidationError(report)
     return report
@@ -259,10 +275,10 @@ def _load_clean(spark: SparkSession, clean: DataFrame, database: str, report: Ba
     try:
         report.silver_suite = Q.enforce(Q.run_suite(clean, Q.SILVER_SUITE), "silver")
     except Q.DataQualityError as e:
+        _log_rules("silver", e.rows)
         log.error("silver validation failed, nothing written: %s", e)
         raise
-    for r in report.silver_suite:
-        log.info("rule %s %s: success", r["expectation"], r["kwargs"])
+    _log_rules("silver", report.silver_suite)
     table = silver_table(database)
     report.touched_dates = upsert_partitioned_table(
         spark, table, clean, ["event_id"], "event_date",
@@ -271,6 +287,12 @@ def _load_clean(spark: SparkSession, clean: DataFrame, database: str, report: Ba
     log.info("silver upserted; touched dates: %s", format_manifest(report.touched_dates))
 
 
+def _log_rules(suite: str, rows: list) -> None:
+    for r in rows:
+        log.log(logging.INFO if r["success"] else logging.ERROR, "%s rule %s %s: %s", suite,
+                r["expectation"], r["kwargs"], "success" if r["success"] else "failed")
+
+
 class GoldValidationError(Exception):
     def __init__(self, report: BatchReport):
         self.report = report

@@ -13,6 +13,7 @@ import pytest
 from clickvault.plans import silver as S
 from clickvault.plans import tables as T
 from clickvault.operators import gold as G
+from clickvault.schemas import SILVER_MANDATORY
 from clickvault.sources.bronze import read_bronze_json
 
 DAY = "2026-09-19"
@@ -149,6 +150,13 @@ def test_table_loads_late_and_moved_events(spark, scratch):
     assert rep.touched_dates == [dt.date(2026, 9, 19)]
     assert rep.observed == {"bronze_rows": 16, "after_id_dedup": 12,
                             "after_mandatory_nulls": 7, "after_product_rule": 6}
+    assert rep.defects.pop("product_rule_violations") == 7 - 6
+    assert set(rep.defects) == {f"null_{c}" for c in SILVER_MANDATORY}
+    assert max(rep.defects.values()) <= 12 - 7 <= sum(rep.defects.values())
+    assert set(rep.gold_counts) == set(T.GOLD_SPECS)
+    for name, n in rep.gold_counts.items():
+        assert n["slice_rows"] == 6
+        assert n["built"] == n["written"] == spark.table(T.gold_table(db, name)).count()
     assert rep.stage_counts["exact_duplicate_groups"] == 1
     assert len(_silver_rows(spark, db)) == 6
     assert all(r.data_transformed_ingested_timestamp is not None

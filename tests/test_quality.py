@@ -69,6 +69,10 @@ def test_gold_gate_blocks_only_failing_table(spark, scratch):
         T.load_batch(spark, read_bronze_json(spark, land(scratch, b)), db)
     failed = set(e.value.report.gold_failures)
     assert failed == {"business_metrics", "marketing_funnel"}
+    for name, n in e.value.report.gold_counts.items():
+        assert n["written"] == (0 if name in failed else n["built"]) and n["built"] > 0
+    for name, err in e.value.report.gold_failures.items():
+        assert len(err.rows) == len(Q.SUITES[name]) > len(err.failures)
     # Silver took the batch, the failing Gold tables kept their old content,
     # the passing ones got the new day
     assert spark.table(T.silver_table(db)).count() == 9
