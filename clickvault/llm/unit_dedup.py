@@ -3,16 +3,18 @@
 A unit is a line (or a paragraph: lines up to an empty one). It is
 normalised (lower case, white space runs to one space) and hashed to 128
 bits. Digests are grouped over all documents; the occurrence with the
-smallest (doc_id, unit number) stays, the others are repeats. In each
+smallest (doc_id, row, unit number) stays, the others are repeats. In each
 document, neighbouring repeats form a run (empty units in between do not
 break it), and runs of at least ``min_words`` words are cut from the text, so
 a passage is found however it is broken into lines while short boilerplate
 such as a licence line stays. What is cut is reported as [start, end) spans of the
 original text, in characters.
 
-Null text counts as empty. Rows with a null doc_id rank after all others.
-Rows that repeat a doc_id are one document to the ranking: the same unit
-number of both is the first occurrence. Columns other than doc_id and text
+Null text counts as empty. A row is known by its doc_id and the hash of its
+text: rows equal in both are one document, which ranks once, and rows that
+repeat a doc_id with another text are documents of their own. Each row with a
+null doc_id is one, known by a written number; they rank after all others.
+Columns other than doc_id and text
 pass through; ``removed_spans``, ``n_units`` and ``n_removed_units`` are
 added by ``dedup_units`` and replace columns of those names.
 """
@@ -57,15 +59,14 @@ def units(text: str, kind: str = "line"):
 def _unit_rows(kind: str):
     def run(batches):
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            out: list[list] = [[], [], [], [], []]
+            for d, r, t in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "_row", "text"))):
                 for n, _, _, w, h in units(t or "", kind):
-                    for col, v in zip(out, (d, n, w, h)):
+                    for col, v in zip(out, (d, r, n, w, h)):
                         col.append(v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())],
-                names=["doc_id", "n", "words", "digest"])
+                [*[pa.array(c, pa.int64()) for c in out[:4]], pa.array(out[4], pa.binary())],
+                names=["doc_id", "_row", "n", "words", "digest"])
 
     return run
 
@@ -132,32 +133,44 @@ def _apply(schema: T.StructType, min_words: int, kind: str):
     return run
 
 
+def known_rows(docs: DataFrame, sc: Scratch) -> DataFrame:
+    """``docs`` with ``_row``, which with the doc_id tells rows apart."""
+    unnamed = F.col("doc_id").isNull()
+    # written, so a row has the same number whenever it is read
+    null = sc.write(
+        docs.where(unnamed).withColumn("_row", F.monotonically_increasing_id()), "unnamed")
+    return docs.where(~unnamed).withColumn(
+        "_row", F.xxhash64(F.coalesce("text", F.lit("")))).union(null)
+
+
 def repeated_units(docs: DataFrame, sc: Scratch, kind: str = "line") -> DataFrame:
-    """(doc_id, n) of every unit occurrence but the earliest of its digest."""
-    rows = sc.write(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _unit_rows(kind), "doc_id long, n long, words long, digest binary"), "rows")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "n")
+    """(doc_id, _row, n) of every unit occurrence but the earliest of its digest."""
+    rows = sc.write(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_row", "text").mapInArrow(
+            _unit_rows(kind), "doc_id long, _row long, n long, words long, digest binary"), "rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "n")
     # counts and minima combine on the map side: a digest in a third of all rows is one row a task
     again = (rows.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("k"))
              .where("k > 1").select("digest", "first"))
     # written, so the join shuffles both sides itself and can split a frequent digest
     again = sc.write(again, "again")
-    return rows.join(again, "digest").where(rank != F.col("first")).select("doc_id", "n")
+    return rows.join(again, "digest").where(rank != F.col("first")).select("doc_id", "_row", "n")
 
 
 def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line") -> DataFrame:
     """``docs`` with repeated passages cut; adds n_units, n_removed_units, removed_spans."""
     sc = Scratch(docs.sparkSession, "units")
     docs = docs.drop(*[c for c in ADDED if c in docs.columns])
-    marks = sc.write(
-        repeated_units(docs, sc, kind).groupBy("doc_id").agg(F.collect_set("n").alias("_repeats")),
-        "marks")
-    key = F.col("doc_id").cast("long")
-    # a null doc_id is a key like any other here
-    joined = docs.join(marks.withColumnRenamed("doc_id", "_doc"), key.eqNullSafe(F.col("_doc")),
-                       "left").drop("_doc")
     schema = T.StructType([f for f in docs.schema.fields] + [
         T.StructField("n_units", T.LongType()), T.StructField("n_removed_units", T.LongType()),
         T.StructField("removed_spans", T.ArrayType(T.StructType([
             T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+    docs = known_rows(docs, sc)
+    marks = sc.write(
+        repeated_units(docs, sc, kind).groupBy("doc_id", "_row")
+        .agg(F.collect_set("n").alias("_repeats")), "marks")
+    joined = docs.join(
+        marks.withColumnsRenamed({"doc_id": "_doc", "_row": "_of"}),
+        (F.col("_row") == F.col("_of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")),
+        "left").drop("_doc", "_of")
     return joined.mapInArrow(_apply(schema, min_words, kind), schema)
