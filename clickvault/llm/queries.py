@@ -46,6 +46,11 @@ def op5_line_dedup(spark, sf_dir):
     return unit_dedup.dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_passage_dedup(spark, sf_dir):
+    return unit_dedup.dedup_units(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), inside=True)
+
+
 def op6_ngram_jaccard(spark, sf_dir):
     return partenum.jaccard_components(table(spark, sf_dir, "documents"), 90, 100, 3)
 
@@ -79,6 +84,6 @@ FROM p LEFT JOIN w ON p.d = w.d
 """
 
 QUERIES = {f.__name__: f for f in (
-    op1_onebit_ann, op2_wavelet_shards, op3_best_fit_packing, op4_warc_revisits, op5_line_dedup,
-    op6_ngram_jaccard, op7_host_rules, op8_streaming_bpe, op9_cotraining, op10_quotation_links)}
+    op1_onebit_ann, op2_wavelet_shards, op3_best_fit_packing, op4_warc_revisits, op5_passage_dedup,
+    op5_line_dedup, op6_ngram_jaccard, op7_host_rules, op8_streaming_bpe, op9_cotraining, op10_quotation_links)}
 ORACLES: dict[str, str] = {"op4_warc_revisits": _WARC_SQL}

@@ -7,7 +7,9 @@ smallest (doc_id, row, unit number) stays, the others are repeats. In each
 document, neighbouring repeats form a run (empty units in between do not
 break it), and runs of at least ``min_words`` words are cut from the text, so
 a passage is found however it is broken into lines while short boilerplate
-such as a licence line stays. What is cut is reported as [start, end) spans of the
+such as a licence line stays. With ``inside``, every window of ``min_words``
+words that occurs earlier is cut too, also inside lines (``passages``); the
+counts of units stay those of whole units. What is cut is reported as [start, end) spans of the
 original text, in characters.
 
 Null text counts as empty. A row is known by its doc_id and the hash of its
@@ -29,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickvault.llm import passages
 from clickvault.llm.common import Scratch
 
 MIN_WORDS = 50
@@ -71,7 +74,18 @@ def _unit_rows(kind: str):
     return run
 
 
-def cut_runs(text: str, repeats: set[int], min_words: int, kind: str):
+def _merged(spans):
+    """Spans in order, those that overlap or touch as one."""
+    out: list = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def cut_runs(text: str, repeats: set[int], min_words: int, kind: str, windows=()):
     """(text left, units, removed units, removed spans) of one document."""
     spans, run, words, n_units, removed = [], [], 0, 0, 0
 
@@ -94,6 +108,8 @@ def cut_runs(text: str, repeats: set[int], min_words: int, kind: str):
             close()
             run, words = [], 0
     close()
+    if windows:
+        spans = _merged([*spans, *passages.spans(text, windows, min_words)])
     left, at = [], 0
     for s, e in spans:
         left.append(text[at:s])
@@ -113,9 +129,10 @@ def _apply(schema: T.StructType, min_words: int, kind: str):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             marks = batch.column("_repeats").to_pylist()
+            places = batch.column("_places").to_pylist()
             new = {"text": [], "n_units": [], "n_removed_units": [], "removed_spans": []}
-            for t, m in zip(texts, marks):
-                left, n, k, spans = cut_runs(t or "", set(m or ()), min_words, kind)
+            for t, m, p in zip(texts, marks, places):
+                left, n, k, spans = cut_runs(t or "", set(m or ()), min_words, kind, p or ())
                 new["text"].append(left if t is not None else None)
                 new["n_units"].append(n)
                 new["n_removed_units"].append(k)
@@ -157,7 +174,8 @@ def repeated_units(docs: DataFrame, sc: Scratch, kind: str = "line") -> DataFram
     return rows.join(again, "digest").where(rank != F.col("first")).select("doc_id", "_row", "n")
 
 
-def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line") -> DataFrame:
+def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line",
+                inside: bool = False) -> DataFrame:
     """``docs`` with repeated passages cut; adds n_units, n_removed_units, removed_spans."""
     sc = Scratch(docs.sparkSession, "units")
     docs = docs.drop(*[c for c in ADDED if c in docs.columns])
@@ -166,9 +184,12 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line")
         T.StructField("removed_spans", T.ArrayType(T.StructType([
             T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
     docs = known_rows(docs, sc)
-    marks = sc.write(
-        repeated_units(docs, sc, kind).groupBy("doc_id", "_row")
-        .agg(F.collect_set("n").alias("_repeats")), "marks")
+    marks = repeated_units(docs, sc, kind).withColumn("p", F.lit(None).cast("long"))
+    if inside:
+        marks = marks.unionByName(
+            passages.repeated_windows(docs, sc, min_words), allowMissingColumns=True)
+    marks = sc.write(marks.groupBy("doc_id", "_row").agg(
+        F.collect_set("n").alias("_repeats"), F.collect_set("p").alias("_places")), "marks")
     joined = docs.join(
         marks.withColumnsRenamed({"doc_id": "_doc", "_row": "_of"}),
         (F.col("_row") == F.col("_of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")),

@@ -38,7 +38,7 @@ def near_duplicates(spark, docs, sf_dir):
 def substring_dedup(spark, docs, sf_dir):
     """Documents without passages that an earlier one has; emptied documents go."""
     own = {c: f"_own_{c}" for c in docs.columns if c in unit_dedup.ADDED}
-    out = unit_dedup.dedup_units(docs.withColumnsRenamed(own))
+    out = unit_dedup.dedup_units(docs.withColumnsRenamed(own), inside=True)
     whole = F.size("removed_spans") > 0
     return out.where(~whole | (F.trim("text") != "")).withColumn(
         "n_chars", F.when(whole, F.length("text")).otherwise(F.col("n_chars")).cast(
