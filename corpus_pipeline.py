@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickvault.llm import bestfit, cotrain, host_rules, partenum, unit_dedup
-from clickvault.llm.common import scratch_uri
+from clickvault.llm.common import Scratch, scratch_uri
 from clickvault.llm.queries import BYTE_BPE, table
 
 
@@ -27,12 +27,24 @@ def quality_rules(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """One document of each group whose five-word shingles have a similarity of 0.8 or more.
 
-    Rows that repeat a doc_id are one document; a row without one is in no group and stays.
+    Rows equal in doc_id and text are one document, the smallest row; rows that repeat a doc_id
+    with another text are documents of their own. A row without one is in no group and stays.
     """
-    groups = partenum.jaccard_components(docs, 80, 100, 5)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    named = docs.where(F.col("doc_id").isNotNull()).withColumn("_same", F.xxhash64("text"))
+    texts = named.groupBy("doc_id").agg(F.min("_same").alias("_first"), F.max("_same").alias("_last"))
+    # the other texts of an id get numbers above the usual ids, so they come last in their group
+    number = F.shiftrightunsigned(F.xxhash64("doc_id", "_same"), 2).bitwiseOR(F.lit(1 << 62))
+    more = Scratch(spark, "near").write(
+        named.join(texts.where("_first <> _last"), "doc_id").where("_same <> _first")
+        .select("doc_id", "_same", number.alias("_node")).distinct(), "more")
+    rows = named.join(more, ["doc_id", "_same"], "left").withColumn(
+        "_node", F.coalesce("_node", F.col("doc_id").cast("long")))
+    groups = partenum.jaccard_components(rows.select(F.col("_node").alias("doc_id"), "text"), 80, 100, 5)
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(
+        F.col("doc_id").alias("_node")).distinct()
+    one = rows.join(kept, "_node", "left_semi").groupBy("_node").agg(
+        F.min(F.struct(*docs.columns)).alias("_row"))
+    return one.select("_row.*").union(docs.where(F.col("doc_id").isNull()))
 
 
 def substring_dedup(spark, docs, sf_dir):

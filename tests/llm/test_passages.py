@@ -118,3 +118,15 @@ def test_pipeline_cuts_passages(spark, tmp_path):
     assert sum(map(len, want.values())) < sum(
         len(v[0][0].split()) for v in brute_dedup(rows, 50).values())
     check_packing(corpus_pipeline.run(spark, sf).collect(), left, 1024)
+
+
+def test_near_duplicates_keep_other_texts_of_an_id(spark):
+    rows = [(1, words("a"), "s"), (1, words("b"), "s"), (1, words("b") + " x", "s"), (1, words("b"), "t"),
+            (2, words("a") + " y", "s"), (3, words("c"), "s"), (3, words("C"), "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for n in (1, 3):
+        out = corpus_pipeline.near_duplicates(spark, docs.repartition(n, "text"), None)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert sorted((r.doc_id, r.text.lower().split()[0], r.source) for r in got) == [
+            (1, "a0", "s"), (1, "b0", "s"), (3, "c0", "s")]
