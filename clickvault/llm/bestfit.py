@@ -221,13 +221,12 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         offers = room.select("bin", "room", slots.cast("int").alias("slots")).select(
             "bin", F.floor(F.col("room") / F.col("slots")).cast("long").alias("size"),
             F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
-        # slot numbers are below the capacity: a gap's name holds its bin and slot
-        width = capacity + 1
-        gaps = offers.select((F.col("bin") * width + F.col("slot")).alias("gap"), "size")
+        # a gap goes by its bin; the slots of one bin are rows of equal name and size
+        gaps = offers.select(F.col("bin").alias("gap"), "size")
         matched, waiting = successor_sweep(
             docs, gaps, sc, f"swept-{rnd}", left["n"] + have["n"])
         now = sc.write(
-            matched.select(F.col("id").alias("uid"), F.expr(f"gap div {width}").alias("bin"),
+            matched.select(F.col("id").alias("uid"), F.col("gap").alias("bin"),
                            F.col("size").alias("length"), F.lit(rnd).alias("round")),
             f"placed-{rnd}")
         parts.append(now)
