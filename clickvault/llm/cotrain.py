@@ -16,8 +16,9 @@ and kept in a shared table, every round scores all of it, and so does the end.
 
 Null text counts as empty, null metadata as a value of its own. Labels with a
 null doc_id or value are not used; several labels of one document count as its
-smallest. Without labels of both kinds every document gets the share of good
-labels (1.0 without labels). Rows that repeat are scored each. Extra columns
+smallest. Without two labelled documents of each kind every document gets the
+share of good labels (1.0 without labels) and is kept. Toxicity is no part of
+this: only the quality label is read. Rows that repeat are scored each. Extra columns
 are ignored by ``score`` and kept by ``keep_documents``.
 """
 
@@ -159,7 +160,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25)
 
 @dataclass
 class Model:
-    """Two views, their calibrations and the combination; ``share`` alone without labels of both kinds."""
+    """Two views, their calibrations and the combination; ``share`` alone, which rejects nothing, without."""
 
     share: float
     text: Logistic | None = None
@@ -168,6 +169,9 @@ class Model:
     meta_cal: Logistic | None = None
     both: Logistic | None = None
 
+    def kept(self, score: np.ndarray, keep: float) -> np.ndarray:
+        return (score >= keep) | (self.text is None)
+
     def scores(self, xt: np.ndarray, xm: np.ndarray):
         """(text, meta, combined) probabilities of being good."""
         if self.text is None:
@@ -249,6 +253,16 @@ def features(docs: DataFrame) -> DataFrame:
     return _columns(docs).mapInArrow(_featurise, "doc_id long, xt binary, xm binary")
 
 
+def _calibration_fold(y: np.ndarray) -> np.ndarray:
+    """The fourth of the labelled documents only for calibration; of a class with two or more, one at least."""
+    fold = np.arange(len(y)) % 4 == 3
+    for good in (0, 1):
+        mine = np.flatnonzero(y == good)
+        if len(mine) > 1 and len({*fold[mine]}) < 2:
+            fold[mine] = np.arange(len(mine)) % 4 == min(3, len(mine) - 1)
+    return fold
+
+
 def train(feats: DataFrame, labels: DataFrame, rounds: int = ROUNDS,
           max_labelled: int = MAX_LABELLED, max_pseudo: int = MAX_PSEUDO,
           confident: float = CONFIDENT) -> Model:
@@ -262,8 +276,7 @@ def train(feats: DataFrame, labels: DataFrame, rounds: int = ROUNDS,
         .limit(max_labelled).collect()
     y = np.array([r["quality"] > 0 for r in got], np.float64)
     share = float(y.mean()) if len(y) else 1.0
-    # a fourth of the labelled documents is only for calibration
-    fold = np.arange(len(y)) % 4 == 3
+    fold = _calibration_fold(y)
     if len({*y[fold]}) < 2 or len({*y[~fold]}) < 2:
         return Model(share)
     xt = _matrix((r["xt"] for r in got), TEXT_DIM)
@@ -309,7 +322,8 @@ def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw) -> DataF
     model = train(feats, labels, **kw)
     out = feats.mapInArrow(
         _score_features(model), "doc_id long, text_score double, meta_score double, score double")
-    return sc.finish(out.withColumn("kept", F.col("score") >= keep))
+    kept = F.lit(True) if model.text is None else F.col("score") >= keep
+    return sc.finish(out.withColumn("kept", kept))
 
 
 def _keep(model: Model, keep: float):
@@ -318,7 +332,7 @@ def _keep(model: Model, keep: float):
             p = model.scores(
                 text_features(batch.column("_x_text")),
                 meta_features(*(batch.column(f"_x_{c}") for c in ("source", "lang", "n_chars"))))
-            t = pa.Table.from_batches([batch]).filter(pa.array(p[2] >= keep))
+            t = pa.Table.from_batches([batch]).filter(pa.array(model.kept(p[2], keep)))
             n = len([c for c in batch.schema.names if c.startswith("_x_")])
             yield from t.select(range(batch.num_columns - n)).to_batches()
 
