@@ -7,7 +7,7 @@ from clickvault.plans import analyst as A
 from clickvault.plans import analyst_sql as AS
 from clickvault.plans import silver as S
 from clickvault.sources import fixture as FX
-from conftest import SF_SMALL
+from fixture_dirs import SF_SMALL
 
 GOLD_INPUT = {
     "top_products_by_purchases": "product_performance",

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 from clickvault import registry
 from clickvault.oracle.compare import compare
-from conftest import SF_SMALL
+from fixture_dirs import SF_SMALL
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES
@@ -48,7 +48,7 @@ def test_fixture_stage_counts(spark):
 
 def test_fixture_measurements_sf001(spark):
     """The figures FIXTURES.md §5 records for the adapter at sf0.01."""
-    from conftest import SF_MID
+    from fixture_dirs import SF_MID
 
     counts = QUERIES["silver_stage_counts"](spark, SF_MID).first().asDict()
     assert list(counts.values()) == [10200, 100, 10100, 100, 10000, 9890, 9877]
@@ -73,7 +73,7 @@ ROUNDING_QUERIES = sorted(
 @pytest.fixture(scope="module")
 def duck_mid():
     from clickvault.oracle.compare import duck_connect
-    from conftest import SF_MID
+    from fixture_dirs import SF_MID
 
     return duck_connect(SF_MID)
 
@@ -81,7 +81,7 @@ def duck_mid():
 @pytest.mark.parametrize("name", ROUNDING_QUERIES)
 def test_rate_queries_match_oracle_sf001(spark, duck_mid, name):
     """Rates and their rounding at the driver's correctness scale (sf0.01)."""
-    from conftest import SF_MID
+    from fixture_dirs import SF_MID
 
     ok, msg = compare(spark, duck_mid, QUERIES[name], ORACLES[name], SF_MID,
                       strict_order=True, exact_types=True)

@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT, SF_SMALL
+from fixture_dirs import ROOT, SF_SMALL
 
 JOB = """
 import sys

@@ -10,7 +10,7 @@ from clickvault.operators import gold as G
 from clickvault.plans import refresh as R
 from clickvault.plans import silver as S
 from clickvault.sources import fixture as FX
-from conftest import SF_MID, SF_SMALL
+from fixture_dirs import SF_MID, SF_SMALL
 
 
 def _rows(df):

@@ -10,7 +10,7 @@ from clickvault.schemas import BRONZE_COLUMNS
 from clickvault.sources import fixture as FX
 from clickvault.sources.bronze import read_bronze_json, write_bronze_json
 from clickvault.streaming.pickup import start_pickup
-from conftest import SF_SMALL
+from fixture_dirs import SF_SMALL
 from test_handwritten import batch1, land, row
 
 
