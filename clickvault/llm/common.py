@@ -108,6 +108,27 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: str) -> DataFrame:
+    """``df`` with the number of each row (from 1) in ``order``.
+
+    The rows are range-sorted and written with their places in their ranges; only the
+    ranges' counts, one row each, are added up outside. Rows of equal order in one hot
+    group are split when ``order`` ends with a column that tells them apart.
+    """
+    spark = df.sparkSession
+    ranges = df.repartitionByRange(partitions_for(spark), *order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = scratch.write(
+        ranges.withColumn("_range", F.spark_partition_id()).withColumn("_place", place), name)
+    before, at = [], 0
+    for r in placed.groupBy("_range").agg(F.max("_place").alias("last")).orderBy("_range").collect():
+        before.append((r["_range"], at))
+        at += r["last"] + 1
+    base = spark.createDataFrame(before, "_range int, _before long")
+    return placed.join(F.broadcast(base), "_range").withColumn(
+        col, F.col("_before") + F.col("_place") + 1).drop("_range", "_place", "_before")
+
+
 # ------------------------------------------------------------------ Arrow text
 CHUNK_BYTES = 1 << 21
 
@@ -168,12 +189,16 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and row of every word ``[^\\x20\\x09-\\x0D]+`` in the rows' bytes."""
+def word_spans(buf: np.ndarray, offsets: np.ndarray,
+               is_other: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row of every word ``[^\\x20\\x09-\\x0D]+`` in the rows' bytes.
+
+    ``is_other`` marks the bytes outside words where words are something else.
+    """
     if len(buf) == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~IS_SPACE[buf]
+    word = ~is_other[buf]
     edge = np.zeros(len(buf) + 1, bool)
     edge[offsets] = True
     starts = word.copy()
