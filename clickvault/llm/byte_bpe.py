@@ -7,14 +7,19 @@ the token's rank: the pair whose joined bytes rank lowest goes first, as with ra
 alone. A piece that is itself a token is taken whole. Each match of the pattern is
 encoded separately.
 
-``encode`` gives ids and the span of characters that each token covers; a character
-whose bytes lie in several tokens is in the span of each of them. ``decode`` turns ids
-into bytes by the reversed byte table, joins the bytes of split characters across
-tokens, and replaces by U+FFFD only what is not UTF-8 after that.
+A batch's texts are cut where a match of the pattern always ends and the next one does
+not look back (``tokens``: before single spaces, at single line breaks, before full stops
+and commas that end a piece). The library encodes the pieces that are not in a bounded
+memo, many in one call. A text longer than ``PART`` characters is encoded in parts that end
+before a single space.
 
-A text longer than ``PART`` characters is encoded in parts that end before a space
-between two characters that are not white space. The pattern must end a match there,
-without looking back (those of the public rank files do).
+``encode`` gives ids and the span of characters that each token covers, found from the
+tokens' bytes and a map from bytes to characters; a character whose bytes lie in several
+tokens is in the span of each of them. ``decode`` turns ids into bytes by the reversed
+byte table, joins the bytes of split characters across tokens, and replaces by U+FFFD only
+what is not UTF-8 after that.
+
+The pattern must match every character, and end a match at those places.
 
 Null text is an empty one and has no tokens. A null doc_id stays null; rows that repeat
 a doc_id are documents of their own. Extra columns are ignored. No rows: no rows.
@@ -23,6 +28,7 @@ a doc_id are documents of their own. Extra columns are ignored. No rows: no rows
 from __future__ import annotations
 
 import base64
+import os
 import re
 from functools import lru_cache
 
@@ -33,9 +39,9 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from clickvault.llm.common import ship_package
+from clickvault.llm.tokens import MemoEncoder
 
-PART = 1 << 20  # characters given to the library in one call
-CACHE = 200_000  # pieces whose tokens the library remembers
+PART = 1 << 20  # characters encoded at a time
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -60,7 +66,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str, pattern: str) -> Tokenizer:
-    """The library's tokenizer for a rank file; one per worker process."""
+    """The library's tokenizer for a rank file; one per worker process, which has one core."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     ranks, char = load_ranks(path), byte_characters()
     name = {token: "".join(char[b] for b in token) for token in ranks}
     merges = [
@@ -70,8 +77,7 @@ def load_tokenizer(path: str, pattern: str) -> Tokenizer:
         if token[:i] in ranks and token[i:] in ranks
     ]
     tok = Tokenizer(models.BPE(
-        vocab={name[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True,
-        cache_capacity=CACHE))
+        vocab={name[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True))
     tok.pre_tokenizer = pre_tokenizers.Sequence([
         pre_tokenizers.Split(Regex(pattern), behavior="isolated"),
         pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -81,22 +87,32 @@ def load_tokenizer(path: str, pattern: str) -> Tokenizer:
 class ByteTable:
     """Token bytes by id: each character of a token goes back to its byte."""
 
-    def __init__(self, tok: Tokenizer):
-        byte = {c: b for b, c in enumerate(byte_characters())}
-        vocab = tok.get_vocab(with_added_tokens=False)
-        self.token = [b""] * (max(vocab.values(), default=-1) + 1)
-        for text, i in vocab.items():
-            self.token[i] = bytes(byte[c] for c in text)
-        #: ids of tokens that begin within a character
-        self.inside = np.array([0x80 <= t[0] < 0xC0 if t else False for t in self.token], bool)
+    def __init__(self, ranks: dict[bytes, int]):
+        char = byte_characters()
+        byte = {c: b for b, c in enumerate(char)}
+        self.token = [b""] * (max(ranks.values(), default=-1) + 1)
+        for name, i in (("".join(char[b] for b in t), i) for t, i in ranks.items()):
+            self.token[i] = bytes(byte[c] for c in name)
+        self.size = np.array([len(t) for t in self.token], np.int64)
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token.__getitem__, ids.tolist()))
 
+    def spans(self, ids: np.ndarray, data: np.ndarray) -> np.ndarray:
+        """(start, end) in characters of each token of the text with the bytes ``data``."""
+        char = np.cumsum((data & 0xC0) != 0x80) - 1  # of each byte
+        ends = np.cumsum(self.size[ids])
+        return np.stack([char[ends - self.size[ids]], char[ends - 1] + 1], axis=1)
+
+
+@lru_cache(maxsize=4)
+def byte_table(path: str) -> ByteTable:
+    return ByteTable(load_ranks(path))
+
 
 @lru_cache(maxsize=4)
-def byte_table(path: str, pattern: str) -> ByteTable:
-    return ByteTable(load_tokenizer(path, pattern))
+def piece_encoder(path: str, pattern: str) -> MemoEncoder:
+    return MemoEncoder(load_tokenizer(path, pattern))
 
 
 def text_parts(text: str, part: int = PART) -> list[tuple[int, str]]:
@@ -111,10 +127,11 @@ def text_parts(text: str, part: int = PART) -> list[tuple[int, str]]:
     return [*out, (at, text[at:])]
 
 
-def part_groups(texts: list, part: int = PART):
+def part_groups(texts, part: int = PART):
     """(row, place, characters) of all parts, in lists of about ``part`` characters together."""
     group, size = [], 0
     for row, text in enumerate(texts):
+        text = text.as_py() if isinstance(text, pa.Scalar) else text
         for at, chars in text_parts(text or "", part):
             group.append((row, at, chars))
             size += len(chars)
@@ -125,85 +142,88 @@ def part_groups(texts: list, part: int = PART):
         yield group
 
 
-_ENCODED = "doc_id long, n_tokens long, ids binary, spans binary"
+_ENCODED = "doc_id long, n_tokens long, n_split long, ids binary, spans binary"
 
 
-def _encode(path: str, pattern: str):
+def _encode(path: str, pattern: str, part: int):
     def run(batches):
-        tok = load_tokenizer(path, pattern)
+        coder, table = piece_encoder(path, pattern), byte_table(path)
         for batch in batches:
-            docs, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            first, ids, spans = 0, [], []  # of the rows from ``first`` on
+            docs, texts = batch.column("doc_id"), batch.column("text")
+            first, ids, spans = 0, [], []  # of the rows from ``first`` on, parts in lists
 
             def rows(end):
-                n = [sum(map(len, x)) for x in ids[: end - first]]
-                flat = [np.concatenate(x) if x else np.zeros(0, "<u4") for x in ids[: end - first]]
-                at = [np.concatenate(x) if x else np.zeros((0, 2), "<i4")
-                      for x in spans[: end - first]]
+                n = end - first
+                flat = [np.concatenate(x) for x in ids[:n]]
+                at = [np.concatenate(x) for x in spans[:n]]
+                split = [int((x[1:, 0] < x[:-1, 1]).sum()) for x in at]
                 return pa.RecordBatch.from_arrays(
-                    [docs.slice(first, end - first), pa.array(n, pa.int64()),
-                     pa.array([x.tobytes() for x in flat], pa.binary()),
-                     pa.array([x.tobytes() for x in at], pa.binary())],
-                    names=["doc_id", "n_tokens", "ids", "spans"])
+                    [docs.slice(first, n), pa.array([len(x) for x in flat], pa.int64()),
+                     pa.array(split, pa.int64()), pa.array([x.tobytes() for x in flat], pa.binary()),
+                     pa.array([x.astype("<i8").tobytes() for x in at], pa.binary())],
+                    names=["doc_id", "n_tokens", "n_split", "ids", "spans"])
 
-            for group in part_groups(texts):
-                found = tok.encode_batch([c for _, _, c in group], add_special_tokens=False)
+            for group in part_groups(texts, part):
                 done = group[0][0]  # rows before the group's first are complete
                 if done > first:
                     yield rows(done)
                     ids, spans, first = ids[done - first :], spans[done - first :], done
-                for (row, at, _), e in zip(group, found):
+                for (row, at, chars), data in zip(group, coder.encode([c for _, _, c in group])):
                     while len(ids) <= row - first:
                         ids.append([])
                         spans.append([])
-                    if e.ids:
-                        ids[row - first].append(np.array(e.ids, "<u4"))
-                        spans[row - first].append(np.array(e.offsets, "<i4") + np.int32(at))
+                    a = np.frombuffer(data, "<u4")
+                    ids[row - first].append(a)
+                    spans[row - first].append(
+                        table.spans(a, np.frombuffer(chars.encode(), np.uint8)) + at)
             if len(texts) > first:
                 yield rows(len(texts))
 
     return run
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian uint32), spans (int32 start and end of each token)."""
+def encode(docs: DataFrame, path: str, pattern: str, part: int = PART) -> DataFrame:
+    """doc_id, n_tokens, n_split, ids (little-endian uint32), spans (int64 start and end of each token).
+
+    ``n_split`` counts tokens that begin within a character.
+    """
     ship_package(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _encode(path, pattern), _ENCODED)
+        _encode(path, pattern, part), _ENCODED)
 
 
-def _decode(path: str, pattern: str, keep: list[str]):
+def _decode(path: str, keep: list[str], name: str, part: int):
     def run(batches):
-        table = byte_table(path, pattern)
+        table = byte_table(path)
         for batch in batches:
-            data, text, split = [], [], []
-            for ids in batch.column("ids"):
-                a = np.frombuffer(ids.as_py() or b"", "<u4")
-                data.append(table.decode(a))
-                text.append(data[-1].decode("utf-8", "replace"))
-                split.append(int(table.inside[a].sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(data, pa.binary()),
-                 pa.array(text, pa.string()), pa.array(split, pa.int64())],
-                names=[*keep, "bytes", "text", "n_inside"])
+            first, out, size = 0, [], 0
+            for i, ids in enumerate(batch.column("ids"), 1):
+                data = table.decode(np.frombuffer(ids.as_py() or b"", "<u4"))
+                out.append(data.decode("utf-8", "replace") if name == "text" else data)
+                size += len(data)
+                if size >= part or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [*(batch.column(c).slice(first, len(out)) for c in keep),
+                         pa.array(out, pa.string() if name == "text" else pa.binary())],
+                        names=[*keep, name])
+                    first, out, size = i, [], 0
 
     return run
 
 
-def decode(encoded: DataFrame, path: str, pattern: str, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``encoded``, with the bytes and text of ``ids``.
-
-    ``n_inside`` counts tokens that begin within a character.
-    """
+def decode(encoded: DataFrame, path: str, keep: list[str], name: str = "text",
+           part: int = PART) -> DataFrame:
+    """Columns ``keep`` of ``encoded``, with the ``text`` or the ``bytes`` (by ``name``) of its ids."""
     ship_package(encoded.sparkSession)
-    kept = ", ".join(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in keep)
+    kept = "".join(f"{c} {encoded.schema[c].dataType.simpleString()}, " for c in keep)
+    kind = {"text": "string", "bytes": "binary"}[name]
     return encoded.select(*keep, "ids").mapInArrow(
-        _decode(path, pattern, keep), f"{kept}, bytes binary, text string, n_inside long")
+        _decode(path, keep, name, part), f"{kept}{name} {kind}")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, n_inside of every document."""
+    """doc_id, n_tokens, n_split, ids_sha256, decoded_sha256 of every document."""
     ids = encode(docs, path, pattern).withColumn("ids_sha256", F.sha2("ids", 256))
-    back = decode(ids, path, pattern, ["doc_id", "n_tokens", "ids_sha256"])
-    return back.select("doc_id", "n_tokens", "ids_sha256",
-                       F.sha2("bytes", 256).alias("decoded_sha256"), "n_inside")
+    columns = ["doc_id", "n_tokens", "n_split", "ids_sha256"]
+    return decode(ids, path, columns, "bytes").select(
+        *columns, F.sha2("bytes", 256).alias("decoded_sha256"))

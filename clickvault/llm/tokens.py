@@ -27,8 +27,8 @@ BARE = "\r"  # marks a piece that has no space before it
 class MemoEncoder:
     """ids of whole texts as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str):
-        self.tok = Tokenizer.from_file(path)
+    def __init__(self, tok: Tokenizer):
+        self.tok = tok
         self.tok.no_truncation()
         self.tok.no_padding()
         vocab = self.tok.get_vocab(with_added_tokens=True)
@@ -148,7 +148,7 @@ class MemoEncoder:
 @lru_cache(maxsize=4)
 def memo_encoder(path: str) -> MemoEncoder:
     """One encoder per worker process and vocabulary file."""
-    return MemoEncoder(path)
+    return MemoEncoder(Tokenizer.from_file(path))
 
 
 def encode_rows(texts: list, path: str, chars: int = 4_000_000):

@@ -18,13 +18,14 @@ LIBRARY = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=byte_bpe.l
 
 def want(doc_id, text):
     ids = LIBRARY.encode_ordinary(text or "")
-    return (doc_id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+    split = sum(0x80 <= LIBRARY.decode_single_token_bytes(i)[0] < 0xC0 for i in ids)
+    return (doc_id, len(ids), split, hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
             hashlib.sha256(LIBRARY.decode_bytes(ids)).hexdigest())
 
 
 def test_query_equals_library(spark, docs):
     got = queries.op13_byte_bpe(spark, SF).collect()
-    assert sorted(tuple(r)[:4] for r in got) == sorted(want(r.doc_id, r.text) for r in docs.collect())
+    assert sorted(tuple(r) for r in got) == sorted(want(r.doc_id, r.text) for r in docs.collect())
 
 
 def test_awkward(spark):
@@ -33,7 +34,7 @@ def test_awkward(spark):
         allowMissingColumns=True)
     got = byte_bpe.round_trip(docs, PATH, PATTERN).collect()
     key = lambda r: (r[0] is not None, r)
-    assert sorted((tuple(r)[:4] for r in got), key=key) == sorted(
+    assert sorted((tuple(r) for r in got), key=key) == sorted(
         (want(r.doc_id, r.text) for r in docs.collect()), key=key)
     assert byte_bpe.round_trip(docs.limit(0), PATH, PATTERN).count() == 0
 
@@ -50,20 +51,21 @@ def test_spans_and_split_characters(spark):
     texts = ["", "ab cd", "日本語 x", "😀👨‍👩‍👧 é", "ᚠᛇᚻ ᚦ", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     coded = byte_bpe.encode(docs, PATH, PATTERN)
-    back = {r.doc_id: r for r in byte_bpe.decode(coded, PATH, PATTERN, ["doc_id"]).collect()}
-    table, split = byte_bpe.byte_table(PATH, PATTERN), 0
+    back = {r.doc_id: r for r in byte_bpe.decode(coded, PATH, ["doc_id"]).collect()}
+    data = {r.doc_id: r.bytes for r in byte_bpe.decode(coded, PATH, ["doc_id"], "bytes", 3).collect()}
+    table, split = byte_bpe.byte_table(PATH), 0
     for r in coded.collect():
         text = texts[r.doc_id] or ""
-        assert back[r.doc_id].text == text and bytes(back[r.doc_id].bytes) == text.encode()
+        assert back[r.doc_id].text == text and bytes(data[r.doc_id]) == text.encode()
         ids = np.frombuffer(r.ids, "<u4")
         at = 0
-        for i, (a, b) in zip(ids.tolist(), np.frombuffer(r.spans, "<i4").reshape(-1, 2).tolist()):
+        for i, (a, b) in zip(ids.tolist(), np.frombuffer(r.spans, "<i8").reshape(-1, 2).tolist()):
             # a token's bytes lie in the characters of its span
             low, high = len(text[:a].encode()), len(text[:b].encode())
             assert low <= at and at + len(table.token[i]) <= high
             at += len(table.token[i])
         assert at == len(text.encode())
-        split += back[r.doc_id].n_inside
+        split += r.n_split
     assert split > 0  # the texts hold characters in several tokens
 
 
@@ -80,14 +82,23 @@ def test_parts_of_long_texts():
         t or "" for t in texts]
 
 
-def test_parts_across_groups(monkeypatch):
-    import pyarrow as pa
-    monkeypatch.setattr(byte_bpe.part_groups, "__defaults__", (50,))
-    monkeypatch.setattr(byte_bpe.text_parts, "__defaults__", (50,))
-    texts = ["one two " * 30, None, "x", "", "three four " * 40, "end"]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(6), pa.int64()), pa.array(texts)],
-                                       names=["doc_id", "text"])
-    rows = [r for b in byte_bpe._encode(PATH, PATTERN)([batch]) for r in b.to_pylist()]
-    assert [r["doc_id"] for r in rows] == list(range(6))
-    for r in rows:
-        assert np.frombuffer(r["ids"], "<u4").tolist() == LIBRARY.encode_ordinary(texts[r["doc_id"]] or "")
+def test_parts_across_groups(spark):
+    texts = ["one two " * 30, None, "x", "", "three four " * 40, "end", *ODD]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for part in (1, 50, 1000):
+        rows = byte_bpe.encode(docs, PATH, PATTERN, part).collect()
+        assert [r.doc_id for r in rows] == list(range(len(texts)))
+        for r in rows:
+            assert np.frombuffer(r.ids, "<u4").tolist() == LIBRARY.encode_ordinary(texts[r.doc_id] or "")
+        back = byte_bpe.decode(spark.createDataFrame(rows), PATH, ["doc_id"], part=part).collect()
+        assert {r.doc_id: r.text for r in back} == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_piece_encoder_equals_library(docs):
+    coder = byte_bpe.piece_encoder(PATH, PATTERN)
+    texts = [r.text or "" for r in docs.collect()] + [t or "" for t in ODD] * 2
+    rng = random.Random(9)
+    marks = ["a", "b ", " c", "\n", "\n\n", "  ", "\t", "\r\n", "\x1c", "\u00a0", "it's", ",", ". ", "é"]
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    for text, data in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(data, "<u4").tolist() == LIBRARY.encode_ordinary(text), repr(text)

@@ -103,7 +103,7 @@ def test_streaming_bpe_awkward(spark):
 
 # ------------------------------------------------------------------- tokens, 2
 def test_memo_encoder_equals_library(docs):
-    lib, enc = library(queries.BYTE_BPE), tokens.MemoEncoder(queries.BYTE_BPE)
+    lib, enc = library(queries.BYTE_BPE), tokens.memo_encoder(queries.BYTE_BPE)
     texts = [t or "" for t in ODD] + [r.text for r in docs.collect()]
     for _ in range(2):  # the second time from the memo
         for t, data in zip(texts, enc.encode(texts)):
