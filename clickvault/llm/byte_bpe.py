@@ -41,7 +41,7 @@ from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 from clickvault.llm.common import ship_package
 from clickvault.llm.tokens import MemoEncoder
 
-PART = 1 << 20  # characters encoded at a time
+PART = 1 << 19  # characters encoded at a time
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -160,7 +160,7 @@ def _encode(path: str, pattern: str, part: int):
                 return pa.RecordBatch.from_arrays(
                     [docs.slice(first, n), pa.array([len(x) for x in flat], pa.int64()),
                      pa.array(split, pa.int64()), pa.array([x.tobytes() for x in flat], pa.binary()),
-                     pa.array([x.astype("<i8").tobytes() for x in at], pa.binary())],
+                     pa.array([x.astype("<i4").tobytes() for x in at], pa.binary())],
                     names=["doc_id", "n_tokens", "n_split", "ids", "spans"])
 
             for group in part_groups(texts, part):
@@ -183,7 +183,7 @@ def _encode(path: str, pattern: str, part: int):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, part: int = PART) -> DataFrame:
-    """doc_id, n_tokens, n_split, ids (little-endian uint32), spans (int64 start and end of each token).
+    """doc_id, n_tokens, n_split, ids (little-endian uint32), spans (int32 start and end of each token).
 
     ``n_split`` counts tokens that begin within a character.
     """
