@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import Scratch, partitions_for
+from clickvault.llm.common import Scratch, number_rows, partitions_for
 from clickvault.llm.tokens import encode_rows
 
 ROWS_PER_RANGE = 100_000
@@ -211,9 +211,10 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         if not have["n"]:
             # nothing fits anywhere: open what the waiting tokens need at least, for the largest
             first = -(-left["tokens"] // capacity)
-            room = docs.orderBy(F.col("size").desc(), "id").limit(first).select(
-                F.col("id").alias("bin"), F.lit(capacity).cast("long").alias("room"))
-            room = sc.write(room, f"open-{rnd}")
+            largest = number_rows(docs, [F.col("size").desc(), F.col("id").asc()], sc, f"sized-{rnd}", "_n")
+            room = sc.write(largest.where(F.col("_n") <= first).select(
+                F.col("id").alias("bin"), F.lit(capacity).cast("long").alias("room")), f"open-{rnd}")
+            sc.drop(f"sized-{rnd}")
             have = {"n": first}
         # a gap for several of the largest document is offered as so many slots
         most = max(1, -(-2 * left["n"] // have["n"]))

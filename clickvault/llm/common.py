@@ -9,6 +9,7 @@ speculative task never leaves a file that is read twice.
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -85,6 +86,14 @@ class Scratch:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
+    def release_shuffles(self) -> None:
+        """Let Spark remove the shuffle files of plans that are written and no longer used.
+
+        Spark's cleaner does so when the driver collects its garbage, which may be long after.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def finish(self, df: DataFrame) -> DataFrame:
         """Checkpoint the (small) result, then drop every table of the run."""
         out = checkpoint_reliably(df)

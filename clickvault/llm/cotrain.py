@@ -2,17 +2,22 @@
 
 View one is the text's content (byte classes, byte pairs, word and line
 statistics of the whole text), view two the page's metadata (source, language,
-stated length). Each view has a logistic regression. In every round both score
-all documents without a used label; what one is confident about becomes a
-pseudo-label for the other. At the end each view is calibrated on labelled
-documents that no fit has seen, and the calibrated views are combined into one
-probability that a document is good.
-
-What is fitted on is bounded: ``MAX_LABELLED`` labelled documents and
-``MAX_PSEUDO`` pseudo-labelled ones per round, view and class, those with the
-smallest hash of their doc_id, so the choice does not depend on partitions.
-Everything else covers all documents: the features are computed once for each
-and kept in a shared table, every round scores all of it, and so does the end.
+their combination, stated length by size class and by language, parts of a source
+that is a URL). Each view has a logistic regression. In every round both score all
+documents without a used label. A view is confident beyond the widest range of
+calibration ranks, from either end, in which its labels err on at most
+``MAX_ERROR`` of the documents and half as often as the class's share alone would;
+what it is confident about becomes a pseudo-label for the other view. At the end
+each view is calibrated on labelled documents that no fit has seen, and the
+calibrated views are combined into one probability that a document is good.
+
+Only the labelled sample is bounded: ``MAX_LABELLED`` documents, those with the
+smallest hash of their doc_id. All confident documents teach: a Newton step needs a
+gradient and a Hessian, which each task sums over its documents, ``MERGES`` tasks
+add up, and the driver adds to those of the labelled sample. Pseudo-labels of
+one class weigh together as much as the labelled documents of it at most, so they do
+not drown them. Features are computed once for each document and kept in a shared
+table; every round scores all of it, and so does the end.
 
 Null text counts as empty, null metadata as a value of its own. Labels with a
 null doc_id or value are not used; several labels of one document count as its
@@ -42,13 +47,15 @@ from clickvault.llm.common import (
 )
 
 MAX_LABELLED = 20_000
-MAX_PSEUDO = 2_000
 ROUNDS = 2
-CONFIDENT = 0.97
+STEPS = 6  # Newton steps over all confident documents, from the fit of the round before
+MERGES = 64  # tasks that add up the sums of all others
+MAX_ERROR = 0.05
+RANGES = [k / 20 for k in range(10, 0, -1)]  # shares of calibration ranks, widest first
 KEEP = 0.5
-PAIRS, SOURCES, LANGS = 64, 32, 16
+PAIRS, SOURCES, LANGS, BOTH, SIZES = 64, 32, 16, 64, 16
 TEXT_DIM = 12 + 8 + PAIRS
-META_DIM = SOURCES + LANGS + 3
+META_DIM = SOURCES + LANGS + BOTH + LANGS + SIZES + 6
 
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = 1
@@ -78,7 +85,8 @@ def text_features(column) -> np.ndarray:
         out[i:j, :12] = classes / per
         if len(part) > 1:
             pair = ((part[:-1].astype(np.int32) * 31 + part[1:]) * 2654435 >> 7) % PAIRS
-            counts = np.bincount(row[1:] * PAIRS + pair, minlength=PAIRS * n).reshape(n, PAIRS)
+            inside = row[1:] == row[:-1]
+            counts = np.bincount((row[1:] * PAIRS + pair)[inside], minlength=PAIRS * n).reshape(n, PAIRS)
             out[i:j, 20:] = counts / per
         s, e, wrow = word_spans(part, off)
         words = np.bincount(wrow, minlength=n)
@@ -113,17 +121,27 @@ def meta_features(source, lang, n_chars) -> np.ndarray:
     """One row of metadata features per document."""
     n = len(source)
     out = np.zeros((n, META_DIM), np.float32)
-    for col, at, dim in ((source, 0, SOURCES), (lang, SOURCES, LANGS)):
-        col = pc.fill_null(col.cast(pa.large_string()), "\0")
-        buf, off = string_buffers(col)
-        s, e = off[:-1], off[1:]
-        slot = (word_hashes(buf, s, e, lower=True) % np.uint64(dim)).astype(np.int64)
-        out[np.arange(n), at + slot] = 1
+    rows, hashes, at = np.arange(n), [], 0
+    for col, dim in ((source, SOURCES), (lang, LANGS)):
+        buf, off = string_buffers(pc.fill_null(col.cast(pa.large_string()), "\0"))
+        hashes.append(word_hashes(buf, off[:-1], off[1:], lower=True))
+        out[rows, at + (hashes[-1] % np.uint64(dim)).astype(np.int64)] = 1
+        at += dim
+    out[rows, at + (combine_hashes(hashes) % np.uint64(BOTH)).astype(np.int64)] = 1
+    at += BOTH
     known = np.asarray(pc.is_valid(n_chars))
     chars = np.maximum(np.asarray(pc.fill_null(n_chars.cast(pa.int64()), 0)), 0)
-    out[:, SOURCES + LANGS] = np.log1p(chars) / 10
-    out[:, SOURCES + LANGS + 1] = ~known
-    out[:, SOURCES + LANGS + 2] = chars < 300
+    length = np.log1p(chars)
+    out[rows, at + (hashes[1] % np.uint64(LANGS)).astype(np.int64)] = length / 10
+    at += LANGS
+    out[rows, at + np.minimum(length / np.log(2), SIZES - 1).astype(np.int64)] = 1
+    at += SIZES
+    src = pc.fill_null(source.cast(pa.large_string()), "")
+    for k, x in enumerate((
+            length / 10, ~known, chars < 300,
+            pc.match_substring(src, "://"), pc.count_substring(src, "/"),
+            pc.count_substring_regex(src, "[0-9]"))):
+        out[:, at + k] = x if k < 4 else np.log1p(np.asarray(x))
     return out
 
 
@@ -137,25 +155,32 @@ class Logistic:
         z = (x - self.mean) / self.scale
         return np.clip(z @ self.weights[:-1] + self.weights[-1], -30, 30)
 
+    def moments(self, x: np.ndarray, y, weight: float) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient and Hessian of the weighted loss over the rows, without the ridge."""
+        z = np.column_stack([(x - self.mean) / self.scale, np.ones(len(x))])
+        p = 1 / (1 + np.exp(-np.clip(z @ self.weights, -30, 30)))
+        return weight * (z.T @ (p - y)), weight * ((z * (p * (1 - p))[:, None]).T @ z)
+
+    def stepped(self, grad: np.ndarray, hess: np.ndarray, l2: float = 1.0) -> tuple[Logistic, float]:
+        """The model after a Newton step of the ridge loss, and the step's largest part."""
+        ridge = np.full(len(grad), l2)
+        ridge[-1] = 1e-6
+        step = np.linalg.solve(hess + np.diag(ridge + 1e-9), grad + ridge * self.weights)
+        size = float(np.abs(step).max())
+        return Logistic(self.mean, self.scale, self.weights - step * min(1.0, 10 / max(size, 1e-12))), size
+
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25) -> Logistic:
     """Ridge logistic regression by Newton steps."""
     x = x.astype(np.float64)
     mean, scale = x.mean(axis=0), x.std(axis=0)
     scale = np.where(scale > 1e-9, scale, 1.0)
-    z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
-    ridge = np.full(z.shape[1], l2)
-    ridge[-1] = 1e-6
+    out = Logistic(mean, scale, np.zeros(x.shape[1] + 1))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge)
-        step = np.linalg.solve(hess + 1e-9 * np.eye(len(w)), grad)
-        w -= step * min(1.0, 10 / max(np.abs(step).max(), 1e-12))
-        if np.abs(step).max() < 1e-6:
+        out, size = out.stepped(*out.moments(x, y, 1.0), l2)
+        if size < 1e-6:
             break
-    return Logistic(mean, scale, w)
+    return out
 
 
 @dataclass
@@ -220,25 +245,86 @@ def _score_features(model: Model):
     return run
 
 
-def _confident(model: Model, level: float):
-    """Feature rows -> those a view is sure about, one row per view (0: text, 1: metadata)."""
+def confident_levels(p: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(at most, at least): scores at which a view is confident of a bad and of a good document."""
+    order, n = np.argsort(p, kind="stable"), len(p)
+    out = []
+    for good, ranks in ((0, order), (1, order[::-1])):
+        most = min(MAX_ERROR, np.mean(y != good) / 2)
+        level = -np.inf if good == 0 else np.inf  # confident of none
+        for share in RANGES:
+            mine = ranks[: int(n * share)]
+            if len(mine) and np.mean(y[mine] != good) <= most:
+                level = p[mine[-1]]
+                break
+        out.append(float(level))
+    return out[0], out[1]
+
+
+def _lessons(model: Model, levels: list, students: list, weigh: list | None):
+    """Feature rows -> one row of sums per task: for each view the rows the other is confident about.
+
+    The sums of a view are (number of bad, of good, gradient, Hessian) of its student.
+    """
     def run(batches):
+        sums = [np.zeros(2 + (k := len(s.weights)) + k * k) for s in students]
         for batch in batches:
-            xt, xm = batch.column("xt"), batch.column("xm")
-            p = model.scores(_matrix(xt.to_pylist(), TEXT_DIM), _matrix(xm.to_pylist(), META_DIM))
-            for view in (0, 1):
-                for good in (0, 1):
-                    sure = p[view] >= level if good else p[view] <= 1 - level
-                    k = pa.array(np.flatnonzero(sure))
-                    if len(k):
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column("doc_id").take(k), pa.array([view] * len(k), pa.int32()),
-                             pa.array([good] * len(k), pa.int32()), xt.take(k), xm.take(k)],
-                            names=["doc_id", "view", "good", "xt", "xm"])
+            x = [_matrix(batch.column(c).to_pylist(), d) for c, d in (("xt", TEXT_DIM), ("xm", META_DIM))]
+            scores = model.scores(*x)
+            for view, student in enumerate(students):
+                p, (low, high) = scores[1 - view], levels[1 - view]
+                for good, sure in ((0, p <= low), (1, p >= high)):
+                    sums[view][good] += sure.sum()
+                    if weigh is not None and sure.any():
+                        g, h = student.moments(x[view][sure], float(good), weigh[view][good])
+                        sums[view][2:] += np.concatenate([g, h.ravel()])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s.tobytes()], pa.binary()) for s in sums], names=["v0", "v1"])
 
     return run
 
 
+def _add_up(batches):
+    total: list = [0, 0]
+    for batch in batches:
+        for v in (0, 1):
+            for data in batch.column(f"v{v}"):
+                total[v] = total[v] + np.frombuffer(data.as_py(), np.float64)
+    if not np.isscalar(total[0]):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([t.tobytes()], pa.binary()) for t in total], names=["v0", "v1"])
+
+
+def _summed(feats: DataFrame, lessons) -> list[np.ndarray]:
+    """The sums of all documents, added up by ``MERGES`` tasks before they come to the driver."""
+    each = feats.mapInArrow(lessons, "v0 binary, v1 binary")
+    some = each.repartition(MERGES).mapInArrow(_add_up, "v0 binary, v1 binary").collect()
+    return [np.sum([np.frombuffer(r[f"v{v}"], np.float64) for r in some], axis=0) for v in (0, 1)]
+
+
+def teach(feats: DataFrame, model: Model, levels: list, own: list) -> list[Logistic]:
+    """Both views' fits to the labelled sample and all that the other view is confident about."""
+    students = [model.text, model.meta]
+    counts = _summed(feats, _lessons(model, levels, students, None))
+    # pseudo-labels of a class weigh together no more than its labelled documents
+    weigh = [[min(1.0, float((y == good).sum()) / max(c[good], 1.0)) for good in (0, 1)]
+             for c, (_, y) in zip(counts, own)]
+    if not any(c[:2].any() for c in counts):
+        return students
+    for _ in range(STEPS):
+        sums = _summed(feats, _lessons(model, levels, students, weigh))
+        moved = 0.0
+        for view, (x, y) in enumerate(own):
+            k = len(students[view].weights)
+            g, h = students[view].moments(x, y, 1.0)
+            students[view], step = students[view].stepped(
+                g + sums[view][2 : 2 + k], h + sums[view][2 + k :].reshape(k, k))
+            moved = max(moved, step)
+        if moved < 1e-4:
+            break
+    return students
+
+
 def _columns(docs: DataFrame) -> DataFrame:
     """doc_id, text, source, lang, n_chars; a missing metadata column is null."""
     have = set(docs.columns)
@@ -264,8 +350,7 @@ def _calibration_fold(y: np.ndarray) -> np.ndarray:
 
 
 def train(feats: DataFrame, labels: DataFrame, rounds: int = ROUNDS,
-          max_labelled: int = MAX_LABELLED, max_pseudo: int = MAX_PSEUDO,
-          confident: float = CONFIDENT) -> Model:
+          max_labelled: int = MAX_LABELLED) -> Model:
     """Co-train on ``feats`` (doc_id, xt, xm) and ``labels`` (doc_id, quality)."""
     sample = (labels.where("doc_id is not null and quality is not null")
               .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -286,35 +371,11 @@ def train(feats: DataFrame, labels: DataFrame, rounds: int = ROUNDS,
     model = calibrate(fit_logistic(*own[0]), fit_logistic(*own[1]), *cal)
     unused = feats.join(F.broadcast(sample.select("doc_id")), "doc_id", "left_anti")
     for _ in range(rounds):
-        sure = unused.mapInArrow(
-            _confident(model, confident), "doc_id long, view int, good int, xt binary, xm binary")
-        more: list[list] = [[own[0][0]], [own[1][0]]]
-        ys: list[list] = [[own[0][1]], [own[1][1]]]
-        # both classes of both views in one pass: the smallest hashes of each
-        rows = _first_of_each(sure, max_pseudo)
-        for view in (0, 1):
-            teach = 1 - view  # what one view is sure about goes to the other
-            mine = [r for r in rows if r["view"] == view]
-            if mine:
-                key, dim = (("xt", TEXT_DIM), ("xm", META_DIM))[teach]
-                more[teach].append(_matrix((r[key] for r in mine), dim))
-                ys[teach].append(np.array([r["good"] for r in mine], np.float64))
-        fits = [fit_logistic(np.concatenate(more[v]), np.concatenate(ys[v])) for v in (0, 1)]
-        model = calibrate(*fits, *cal)
+        levels = [confident_levels(p, y[fold]) for p in model.scores(xt[fold], xm[fold])[:2]]
+        model = calibrate(*teach(unused, model, levels, own), *cal)
     return model
 
 
-def _first_of_each(sure: DataFrame, n: int) -> list:
-    """Up to ``n`` rows of each (view, class), by the smallest hash: a bounded result."""
-    out = []
-    marked = sure.withColumn("_h", F.xxhash64("doc_id"))
-    for view in (0, 1):
-        for good in (0, 1):
-            out += (marked.where((F.col("view") == view) & (F.col("good") == good))
-                    .orderBy("_h", "doc_id").limit(n).collect())
-    return out
-
-
 def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw) -> DataFrame:
     """doc_id, text_score, meta_score, score and kept for every document."""
     sc = Scratch(docs.sparkSession, "cotrain")

@@ -60,6 +60,7 @@ from clickvault.llm.common import (
 )
 
 SKETCH_WORDS = 16  # 64-bit words of the parity sketch
+SIGNED_ROWS = 1 << 17  # signatures given out at a time
 BLOCK = 2048  # members of one signature compared in one unit
 
 
@@ -156,29 +157,54 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * inter >= num * (len(a) + len(b) - inter)
 
 
-_SIGNED = "doc_id long, n_shingles long, cls long, sigs array<long>, sketch binary"
+_SIGNED = "doc_id long, n_shingles long, cls long, sketch binary"
 
 
-def _sign(num: int, den: int, width: int):
+def _sign(width: int):
+    """Size and class of each row's set, with a sketch of those a task sees first."""
     def run(batches):
-        seen: set[int] = set()  # classes this task has signed
+        seen: set[int] = set()  # classes this task has given a sketch
         for batch in batches:
-            ids, ns, cls, sigs, sk = batch.column("doc_id").to_pylist(), [], [], [], []
+            ids, ns, cls, sk = batch.column("doc_id").to_pylist(), [], [], []
             for r, u in shingle_sets(batch.column("text"), width):
                 ns.append(len(u))
                 c = set_digest(u) if len(u) else None
                 cls.append(c)
                 if c is None or ids[r] is None or c in seen:
-                    sigs.append(None)
                     sk.append(None)
                 else:
                     seen.add(c)
-                    sigs.append(signatures(u, num, den).view(np.int64))
                     sk.append(sketch(u).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(cls, pa.int64()),
-                 pa.array(sigs, pa.list_(pa.int64())), pa.array(sk, pa.binary())],
-                names=["doc_id", "n_shingles", "cls", "sigs", "sketch"])
+                 pa.array(sk, pa.binary())], names=["doc_id", "n_shingles", "cls", "sketch"])
+
+    return run
+
+
+def _signature_rows(num: int, den: int, width: int):
+    """Rows (sig, cls) of the sets; a task signs a class once. They go straight to the exchange."""
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            sigs, cls, n = [], [], 0
+            for _, u in shingle_sets(batch.column("text"), width):
+                c = set_digest(u) if len(u) else None
+                if c is None or c in seen:
+                    continue
+                seen.add(c)
+                sigs.append(signatures(u, num, den).view(np.int64))
+                cls.append(np.full(len(sigs[-1]), c, np.int64))
+                n += len(sigs[-1])
+                if n >= SIGNED_ROWS:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.concatenate(x), pa.int64()) for x in (sigs, cls)],
+                        names=["sig", "cls"])
+                    sigs, cls, n = [], [], 0
+            if sigs:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x), pa.int64()) for x in (sigs, cls)],
+                    names=["sig", "cls"])
 
     return run
 
@@ -385,18 +411,20 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
     spark = docs.sparkSession
     sc = Scratch(spark, "partenum")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = sc.write(texts.mapInArrow(_sign(num, den, width), _SIGNED), "signed")
+    signed = sc.write(texts.mapInArrow(_sign(width), _SIGNED), "signed")
     has_set = signed.where("cls is not null and doc_id is not null")
     # the class of equal sets is named by its smallest document
     classes = sc.write(
         has_set.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("sketch").alias("sketch")),
         "classes")
 
-    sig_rows = signed.where("sigs is not null and doc_id is not null").select(
-        F.explode("sigs").alias("sig"), "cls")
+    # signatures are made on the way into the exchange and are written nowhere else
+    sig_rows = texts.where("doc_id is not null").mapInArrow(
+        _signature_rows(num, den, width), "sig long, cls long")
     shared = sc.write(
         sig_rows.repartition(partitions_for(spark), "sig").sortWithinPartitions("sig", "cls")
         .mapInArrow(_shared_signatures, "sig long, cls long, leader long"), "shared")
+    sc.release_shuffles()
 
     wanted = classes.join(shared.select("cls").distinct(), "cls", "left_semi").select(
         F.col("rep").alias("doc_id"), F.col("cls").alias("want"))
@@ -405,6 +433,7 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
         texts.join(wanted, "doc_id").select("text", "want")
         .mapInArrow(_store_sets(root, width), "cls long, file string, at long, size long")
         .dropDuplicates(["cls"]).join(classes, "cls"), "places")
+    sc.release_shuffles()
 
     def side(tag: str, key: str) -> DataFrame:
         return places.select(F.col("cls").alias(key), *[

@@ -4,7 +4,8 @@ import re
 
 import corpus_pipeline
 from clickvault.llm import cotrain
-from test_brute import awkward, base_measures, brute_dedup, check_packing, components
+from test_brute import awkward, base_measures, check_packing, components
+from test_passages import brute
 
 SF = "/root/testdata/sf0.001"
 URL = re.compile(r"[a-z][a-z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)")
@@ -36,17 +37,9 @@ def brute_rules(docs):
 
 
 def brute_substrings(docs):
-    """doc_id -> text without repeated passages; emptied documents left out."""
-    left = brute_dedup([(r.doc_id, r.text) for r in docs], 50)
-    out = {}
-    for r in docs:
-        text, removed = left[r.doc_id][0]
-        if text.rstrip("\n") != r.text.rstrip("\n") and not removed:
-            raise AssertionError("text changed without a removed line")
-        if removed and not text.strip(" \n"):
-            continue
-        out[r.doc_id] = text
-    return out
+    """doc_id -> words left without repeated passages; emptied documents left out."""
+    left = brute([(r.doc_id, r.text) for r in docs], 50)
+    return {d: w for d, w in left.items() if w}
 
 
 def test_pipeline_equals_brute_force(spark, tmp_path):
@@ -82,7 +75,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
     rows = got.collect()
     assert got.columns == docs.columns and len(rows) == len(texts)
     for r in rows:
-        assert r.text.rstrip("\n") == texts[r.doc_id].rstrip("\n")
+        assert r.text.split() == texts[r.doc_id]
 
     left = [(r.doc_id, r.text) for r in rows]
     n, tokens = check_packing(step("best-fit packing", got).collect(), left, 1024)
