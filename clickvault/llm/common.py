@@ -9,6 +9,7 @@ speculative task never leaves a file that is read twice.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import io
 import os
@@ -117,6 +118,14 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release_memory() -> None:
+    """Give back to the system what Arrow and the C library keep for later in this worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: str) -> DataFrame:
     """``df`` with the number of each row (from 1) in ``order``.
 

@@ -16,7 +16,9 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-MEMO_ENTRIES = 700_000
+from clickvault.llm.common import release_memory
+
+MEMO_ENTRIES = 500_000
 MEMO_PIECE = 64  # longer pieces are not remembered
 LEARN = 20_000  # new pieces encoded in one call
 _CUT = re.compile(r"(?<=\S) ")
@@ -162,3 +164,5 @@ def encode_rows(texts: list, path: str, chars: int = 4_000_000):
             j += 1
         yield from zip(range(i, j), enc.encode([t or "" for t in texts[i:j]]))
         i = j
+    # a worker is used again by other stages: give back what Arrow and the C library hold free
+    release_memory()

@@ -63,7 +63,7 @@ def plain_levels(p, y):
         for share in [k / 20 for k in range(10, 0, -1)]:
             top = ranked[: int(len(p) * share)]
             wrong = sum(y[i] != good for i in top)
-            if top and wrong / len(top) <= min(0.05, sum(y != good) / len(y) / 2):
+            if top and wrong + 2 * (wrong + 1) ** 0.5 <= len(top) * min(0.05, sum(y != good) / len(y) / 2):
                 level = p[top[-1]]
                 break
         out.append(level)
@@ -104,10 +104,10 @@ def test_scores_equal_plain_model(spark):
             weight = np.concatenate([np.ones(len(fit[v]))] + [
                 np.full(len(m), min(1, (y[~fold] == c).sum() / max(len(m), 1))) for c, m in ((0, bad), (1, good))])
             mean, scale, w = views[v]
-            new.append((mean, scale, plain_fit(x, t, weight, 1.0, w, mean, scale, cotrain.STEPS, 1e-9)))
+            new.append((mean, scale, plain_fit(x, t, weight, 1.0, 0 * w, mean, scale, cotrain.STEPS, 1e-3)))
         views = new
         cals = plain_calibration(views, [x[cal] for x in xs], y[fold])
-    assert taught > len(rest) / 4  # the exchange is real, and grows with the documents
+    assert taught > len(rest) / 10  # the exchange is real, and grows with the documents
     want = plain_scores(views, cals, xs)
     for i, d in enumerate(rows.doc_id):
         r = got[d]
@@ -133,12 +133,12 @@ def test_text_features_by_hand():
 
 
 def test_levels():
-    p = np.linspace(0, 1, 200)
+    p = np.linspace(0, 1, 1000)
     y = (p > 0.3).astype(float)
     low, high = cotrain.confident_levels(p, y)
     assert 0.28 < low <= 0.32 and 0.49 < high <= 0.51
     # a view without knowledge is confident of nothing
-    y = np.arange(200) % 2
+    y = np.arange(1000) % 2
     assert cotrain.confident_levels(p, y) == (-np.inf, np.inf)
 
 
