@@ -11,10 +11,17 @@ tables: a target key that is there twice is replaced twice, as SQL
 ``MERGE ... UPDATE`` does.
 
 On tables the engine has no row-level MERGE for plain Parquet, so
-``upsert_partitioned_table`` rewrites only the partitions the batch touches
-(as new versions, swapped in by the catalog) and drops partitions the merge empties. When
-the table is bucketed by the merge key, the join reads the table side without
-a shuffle and the result stays bucket-partitioned up to the write.
+``upsert_partitioned_table`` replaces the partitions the batch touches by Spark's
+dynamic partition overwrite (an option of the table, not of the session) and drops
+partitions the merge empties. When the table is bucketed by the merge key, the
+table side of the join is read without a shuffle and written back bucket by
+bucket. Which partitions hold the batch's keys is looked up in a slim index table
+(key, partition value) when the table has one.
+
+Spark stages an overwrite and moves it in partition by partition when all tasks are
+done. A run that dies before that leaves the table as it was. One that dies within
+the moves leaves some partitions new; the same batch again gives the clean result,
+because a source row replaces every copy of its key.
 """
 
 from __future__ import annotations
@@ -24,8 +31,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickvault.operators import versions as V
-
 
 def merge_frames(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Final state of ``target`` after merging ``source`` on ``keys``.
@@ -86,41 +91,61 @@ def overwrite_partitions(
     table: str,
     new_rows: DataFrame,
     partition_col: str,
-    touched: list,
-    bucket_aligned: bool = False,
-    before_commit: Callable[[], None] | None = None,
-) -> list:
-    """Replace the ``touched`` partitions of ``table`` with ``new_rows``.
-
-    ``new_rows`` must hold the complete new content of exactly those
-    partitions. It is run once, into a new version of the partitions, which
-    the catalog then swaps in (``versions``): a crash at any point leaves the
-    old rows or an intent that the next run finishes. Partitions left without
-    rows are dropped. Returns the dropped values. ``bucket_aligned`` says each
-    partition of ``new_rows`` already holds exactly one bucket of the table,
-    so no repartition is needed. ``before_commit`` runs when the rows are
-    staged and nothing has changed yet.
+    emptied: list,
+) -> None:
+    """Replace the partitions of ``table`` that ``new_rows`` has; drop those of ``emptied``.
+
+    ``new_rows`` must hold the complete new content of its partitions. The
+    table must carry the option ``partitionOverwriteMode = dynamic``
+    (``create_tables`` sets it), so no session setting matters; then
+    ``new_rows`` may read the table itself.
     """
-    V.roll_forward(spark, table)
     out = new_rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(table).schema])
-    buckets = table_buckets(spark, table)
-    if buckets and bucket_aligned:
-        pass  # each task already holds one bucket: one file per touched date
-    elif buckets:
-        # one task per bucket: each writes one file per touched date; the
-        # bucket key is unique per row (event_id), so tasks are even
-        out = out.repartition(buckets[0], *buckets[1])
-    else:
+    if not table_buckets(spark, table):
         # REBALANCE on the partition column: AQE cuts a hot date into chunks
         # of the advisory size and merges small ones, so each date gets a
         # few right-sized files instead of one file per (task, date)
         out = out.hint("rebalance", partition_col)
-    version, present = V.stage(spark, table, out, partition_col, buckets)
-    if before_commit is not None:
-        before_commit()
-    emptied = V.commit(spark, table, partition_col, version, present, [str(v) for v in touched])
-    return [v for v in touched if str(v) in emptied]
+    out.write.insertInto(table, overwrite=True)
+    drop_partitions(spark, table, partition_col, emptied)
+
+
+def drop_partitions(spark: SparkSession, table: str, partition_col: str, values: list) -> None:
+    for v in values:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = '{v}')")
+    spark.catalog.refreshTable(table)
+
+
+def replaced_rows(spark: SparkSession, table: str, slice_: DataFrame, source: DataFrame,
+                  keys: list[str]) -> DataFrame:
+    """``slice_`` without the rows ``source`` replaces, and all of ``source``.
+
+    Every copy of a source key goes, so a merge that was cut off half-way can be run
+    again. On a bucketed table the slice is read by bucket and the source is dealt
+    out in the same way: each task holds one bucket, and only the source moves.
+    """
+    buckets = table_buckets(spark, table)
+    new = source.select(*slice_.columns)
+    if buckets:
+        new = new.repartition(buckets[0], *buckets[1])
+    return slice_.join(source.select(*keys), list(keys), "left_anti").select(
+        *slice_.columns).union(new)
+
+
+def append_index(spark: SparkSession, index: str, source: DataFrame, keys: list[str],
+                 partition_col: str) -> None:
+    """Add the (key, partition value) pairs of ``source`` that the index lacks.
+
+    Pairs are only added: one that no longer holds costs a partition rewrite too many
+    when its key comes again, never a wrong row.
+    """
+    pairs = source.select(*keys, partition_col)
+    new = pairs.join(spark.table(index), [*keys, partition_col], "left_anti")
+    buckets = table_buckets(spark, index)
+    if buckets:
+        new = new.repartition(buckets[0], *buckets[1])
+    new.select(*spark.table(index).columns).write.insertInto(index)
 
 
 def upsert_partitioned_table(
@@ -129,33 +154,39 @@ def upsert_partitioned_table(
     source: DataFrame,
     keys: list[str],
     partition_col: str,
-    before_commit: Callable[[list], None] | None = None,
+    index: str | None = None,
+    before_write: Callable[[list], None] | None = None,
 ) -> list:
     """MERGE ``source`` into ``table`` by ``keys``; returns the touched partitions.
 
     Touched = partitions of the source rows + old partitions of matched
-    rows. Only those are read (partition pruning), merged and rewritten;
-    the rest of the table is not touched. The merged rows are written once,
-    beside the partitions they replace, so a lost executor during the write
-    still finds the old ones. ``before_commit`` gets the touched partitions
-    before any of them changes.
+    rows, looked up in ``index`` (in the table itself without one). Only those
+    are read (partition pruning), merged and rewritten; the rest of the table
+    is not touched. The index gets the new pairs, and ``before_write`` the touched
+    partitions, before any row of the table changes.
     """
-    V.roll_forward(spark, table)
     # another session (e.g. an earlier micro-batch) may have rewritten files
-    spark.catalog.refreshTable(table)
+    for t in filter(None, (table, index)):
+        spark.catalog.refreshTable(t)
     target = spark.table(table)
-    touched_df = source.select(partition_col).union(
-        matched_partition_values(target, source, keys, partition_col)
-    )
-    touched = _collect_values(touched_df, partition_col)
+    own = _collect_values(source, partition_col)
+    held = _collect_values(
+        matched_partition_values(spark.table(index or table), source, keys, partition_col),
+        partition_col)
+    touched = sorted({*own, *held})
     if not touched:
         return []
+    # an old partition is emptied when the source takes all its rows
+    old = [v for v in touched if v not in set(own)]
+    left = target.where(F.col(partition_col).isin(old)).select(*keys, partition_col).join(
+        source.select(*keys), list(keys), "left_anti") if old else None
+    kept = set(_collect_values(left, partition_col)) if old else set()
+    if index:
+        append_index(spark, index, source, keys, partition_col)
+    if before_write is not None:
+        before_write(touched)
     slice_ = target.where(F.col(partition_col).isin(touched))
-    buckets = table_buckets(spark, table)
-    # bucketed by the merge key: the join reads the table by bucket, so only the
-    # batch moves, its output has one bucket a task, and the write needs no shuffle
-    aligned = bool(buckets) and buckets[1] == list(keys)
     overwrite_partitions(
-        spark, table, merge_frames(slice_, source, keys), partition_col, touched, aligned,
-        None if before_commit is None else lambda: before_commit(touched))
+        spark, table, replaced_rows(spark, table, slice_, source, keys), partition_col,
+        [v for v in old if v not in kept])
     return touched

@@ -7,16 +7,19 @@
    and a lost executor never re-reads the landing files; the folder goes when
    the batch is done;
 2. run the Silver suite in one pass and stop before writing if it fails;
-3. note the touched dates durably, then upsert into Silver, rewriting only
-   touched ``event_date`` partitions;
-4. re-aggregate the four Gold tables for the touched dates from all their
-   Silver rows, gate each on its own suite, replace those date slices. Dates
-   that an earlier run noted and did not bring to Gold are refreshed too.
+3. note the touched dates as pending for each Gold table, then upsert into Silver,
+   rewriting only touched ``event_date`` partitions. The dates that hold the
+   batch's ids are found in ``silver_event_index``, a slim table of ids and
+   dates, bucketed by id and added to before each merge;
+4. re-aggregate the four Gold tables for their pending dates from all their
+   Silver rows, gate each on its own suite, replace those date slices. A date
+   stays pending for a table whose gate refused it, or that a run did not come
+   to, and is tried again with the next load, for that table alone.
 
 Tables are Parquet, partitioned by ``event_date`` (Gold too, so a date
 slice can be replaced without touching other dates). With a catalog that
 supports row-level MERGE (Iceberg/Delta) step 3 could be a ``MERGE INTO``
-instead; the partition rewrite here gives the same final state.
+instead; the partition overwrite here gives the same final state.
 """
 
 from __future__ import annotations
@@ -33,8 +36,12 @@ from pyspark.sql import functions as F
 
 from clickvault.operators import gold as G
 from clickvault.operators import quality as Q
-from clickvault.operators import versions as V
-from clickvault.operators.upsert import overwrite_partitions, upsert_partitioned_table
+from clickvault.operators.upsert import (
+    drop_partitions,
+    overwrite_partitions,
+    table_buckets,
+    upsert_partitioned_table,
+)
 from clickvault.plans.silver import (
     observed_counts,
     observed_defects,
@@ -43,9 +50,14 @@ from clickvault.plans.silver import (
     with_load_timestamp,
 )
 from clickvault.schemas import GOLD_SPECS, SILVER_DDL, SILVER_LOAD_TS
-from clickvault.session import checkpoint_dir
+from clickvault.session import checkpoint_dir, remove_folder
 
 SILVER_TABLE = "user_interactions_processed"
+INDEX_TABLE = "silver_event_index"
+PENDING_TABLE = "gold_pending_dates"
+INDEX_BUCKETS = 8
+#: a rewrite replaces the partitions it writes, whatever the session's setting
+OVERWRITE = "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
 log = logging.getLogger("clickvault")
 
 
@@ -53,6 +65,14 @@ def silver_table(database: str) -> str:
     return f"{database}.{SILVER_TABLE}"
 
 
+def index_table(database: str) -> str:
+    return f"{database}.{INDEX_TABLE}"
+
+
+def pending_table(database: str) -> str:
+    return f"{database}.{PENDING_TABLE}"
+
+
 def gold_table(database: str, name: str) -> str:
     return f"{database}.{name}"
 
@@ -84,16 +104,63 @@ def create_tables(
     )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {silver_table(database)} ({SILVER_DDL}) "
-        f"USING parquet PARTITIONED BY (event_date){bucketing}"
+        f"USING parquet {OVERWRITE} PARTITIONED BY (event_date){bucketing}"
+    )
+    if not spark.catalog.tableExists(index_table(database)):
+        spark.sql(
+            f"CREATE TABLE {index_table(database)} (event_id string, event_date date) USING parquet "
+            f"CLUSTERED BY (event_id) SORTED BY (event_id) INTO {int(silver_buckets or INDEX_BUCKETS)} BUCKETS"
+        )
+        rebuild_index(spark, database)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {pending_table(database)} (event_date date, gold_table string) "
+        f"USING parquet {OVERWRITE} PARTITIONED BY (gold_table)"
     )
     for spec in GOLD_SPECS.values():
         cols = [c for c in spec.ddl().split(",\n    ") if not c.startswith("event_date ")]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {gold_table(gold_db, spec.name)} "
-            f"({', '.join(cols)}, event_date date) USING parquet PARTITIONED BY (event_date)"
+            f"({', '.join(cols)}, event_date date) USING parquet {OVERWRITE} "
+            "PARTITIONED BY (event_date)"
         )
 
 
+def rebuild_index(spark: SparkSession, database: str) -> None:
+    """Write the id index anew from Silver: one file per bucket, without pairs that no longer hold."""
+    n = table_buckets(spark, index_table(database))[0]
+    pairs = spark.table(silver_table(database)).select("event_id", "event_date")
+    pairs.repartition(n, "event_id").write.insertInto(index_table(database), overwrite=True)
+
+
+# ------------------------------------------------------------------- pending dates
+def pending_dates(spark: SparkSession, database: str) -> dict[str, list]:
+    """Dates each Gold table has yet to see; bounded by days and tables."""
+    spark.catalog.refreshTable(pending_table(database))
+    out: dict[str, list] = {}
+    for r in spark.table(pending_table(database)).distinct().collect():
+        out.setdefault(r["gold_table"], []).append(r["event_date"])
+    return {name: sorted(dates) for name, dates in out.items()}
+
+
+def _add_pending(spark: SparkSession, database: str, dates: list) -> None:
+    rows = [(d, name) for d in dates for name in GOLD_SPECS]
+    spark.createDataFrame(rows, "event_date date, gold_table string").coalesce(1).write.insertInto(
+        pending_table(database))
+
+
+def _clear_pending(spark: SparkSession, database: str, done: dict[str, list]) -> None:
+    """Take the dates of ``done`` (by table) off; a table without any loses its partition."""
+    have = pending_dates(spark, database)
+    left = {name: sorted(set(dates) - set(done.get(name, []))) for name, dates in have.items()}
+    changed = {name: dates for name, dates in left.items() if dates != have[name]}
+    rows = [(d, name) for name, dates in changed.items() for d in dates]
+    if rows:
+        spark.createDataFrame(rows, "event_date date, gold_table string").coalesce(1) \
+            .write.insertInto(pending_table(database), overwrite=True)
+    drop_partitions(spark, pending_table(database), "gold_table",
+                    [name for name, dates in changed.items() if not dates])
+
+
 def parse_manifest(text: str | None) -> list:
     """Dates of a touched-date manifest (``"2026-09-19, 2026-09-20"``).
 
@@ -112,7 +179,6 @@ def format_manifest(dates) -> str:
 def scan_silver_dates(spark: SparkSession, database: str, dates: list) -> DataFrame:
     """Silver rows of the given dates; a partition filter, so only those
     date folders are listed and read."""
-    V.roll_forward(spark, silver_table(database))
     spark.catalog.refreshTable(silver_table(database))
     return spark.table(silver_table(database)).where(F.col("event_date").isin(list(dates)))
 
@@ -132,7 +198,7 @@ class BatchReport:
 def refresh_gold(
     spark: SparkSession,
     database: str,
-    dates: list,
+    dates: list | dict[str, list],
     method: str = "user_grain",
     parallel: bool = True,
     gold_database: str | None = None,
@@ -140,6 +206,9 @@ def refresh_gold(
 ) -> tuple[dict, dict]:
     """Replace the Gold slices of ``dates``; each table is gated on its own.
 
+    ``dates`` holds for all four tables, or gives each table's own (a table
+    that is not in it is left alone).
+
     Returns (suite rows per table, failures per table). A table whose suite
     fails is left unchanged; the others are still written (the four tables
     are independent, as in the reference, whose four Gold jobs run side by
@@ -148,9 +217,12 @@ def refresh_gold(
     of queueing one after the other. ``counts``, when given, is filled with
     each table's rows: Silver rows of the slice, rows built, rows written.
     """
-    if not dates:
+    by_table = dates if isinstance(dates, dict) else dict.fromkeys(GOLD_SPECS, dates)
+    by_table = {name: sorted(ds) for name, ds in by_table.items() if ds}
+    if not by_table:
         return {}, {}
-    slice_ = scan_silver_dates(spark, database, dates)
+    every = sorted({d for ds in by_table.values() for d in ds})
+    slice_ = scan_silver_dates(spark, database, every)
     # a pruned count of whole files, from their footers
     slice_rows = slice_.count() if counts is not None else None
     level = None
@@ -177,6 +249,9 @@ def refresh_gold(
     def refresh_one(name: str, fresh: DataFrame):
         # Gold is recomputable from committed Silver, so persisting (not
         # checkpointing) is enough to validate and write it from one pass
+        mine = by_table[name]
+        if mine != every:
+            fresh = fresh.where(F.col("event_date").isin(mine))
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             suite = Q.run_suite(fresh, Q.SUITES[name])
@@ -185,7 +260,8 @@ def refresh_gold(
                 counts[name] = {"slice_rows": slice_rows, "built": built, "written": 0}
             rows = Q.enforce(suite, name)
             target = gold_table(gold_database or database, name)
-            overwrite_partitions(spark, target, fresh, "event_date", dates)
+            present = {r[0] for r in fresh.select("event_date").distinct().collect()}
+            overwrite_partitions(spark, target, fresh, "event_date", [d for d in mine if d not in present])
             if counts is not None:
                 counts[name]["written"] = built
             return name, rows, None
@@ -195,7 +271,12 @@ def refresh_gold(
         finally:
             fresh.unpersist()
 
+    results = {name: df for name, df in results.items() if name in by_table}
     try:
+        if level is not None:
+            # filled once, before four threads ask for them
+            level.count()
+        shared.count()
         if parallel:
             with ThreadPoolExecutor(max_workers=len(results)) as pool:
                 outcomes = list(pool.map(lambda kv: refresh_one(*kv), results.items()))
@@ -205,12 +286,12 @@ def refresh_gold(
         shared.unpersist()
         if level is not None:
             level.unpersist()
-    # written or refused by its gate: a date is no longer pending once all four have seen it
-    V.PendingDates(spark, silver_table(database)).clear([str(d) for d in dates])
     suites = {n: rows for n, rows, err in outcomes if err is None}
     failures = {n: err for n, rows, err in outcomes if err is not None}
+    # a table that its gate refused keeps its dates pending
+    _clear_pending(spark, database, {n: by_table[n] for n in suites})
     for n in sorted(suites):
-        log.info("gold %s: %d date(s) refreshed, all rules passed", n, len(dates))
+        log.info("gold %s: %d date(s) refreshed, all rules passed", n, len(by_table[n]))
     for n, err in sorted(failures.items()):
         log.error("gold %s: left unchanged, %s", n, err)
     return suites, failures
@@ -245,24 +326,20 @@ def load_batch(
         log.info("silver stage counts: %s", report.stage_counts)
     clean, obs = silver_clean_observed(bronze)
     clean = with_load_timestamp(clean)
-    batch = V.Folder(spark, f"{checkpoint_dir(spark)}/batch-{uuid.uuid4().hex}")
+    batch = f"{checkpoint_dir(spark).rstrip('/')}/batch-{uuid.uuid4().hex}"
     try:
-        clean.write.parquet(batch.uri("rows"))
+        clean.write.parquet(batch)
         report.observed = observed_counts(obs)  # filled by the write
         report.defects = observed_defects(obs)
         log.info("silver rows per stage: %s; defects: %s", report.observed, report.defects)
-        _load_clean(spark, spark.read.schema(clean.schema).parquet(batch.uri("rows")), database,
-                    report)
+        _load_clean(spark, spark.read.schema(clean.schema).parquet(batch), database, report)
     finally:
-        batch.drop()
+        remove_folder(spark, batch)
     if silver_only:
         return report
-    pending = V.PendingDates(spark, silver_table(database))
-    # dates of a run that ended between Silver and Gold are refreshed as well
-    noted = {dt.date.fromisoformat(d) for ds in pending.read().values() for d in ds}
-    dates = sorted({*report.touched_dates, *noted})
+    # the batch's dates, and what earlier runs did not bring to a table
     report.gold_suites, report.gold_failures = refresh_gold(
-        spark, database, dates, method, gold_database=gold_database, counts=report.gold_counts
+        spark, database, pending_dates(spark, database), method, gold_database=gold_database, counts=report.gold_counts
     )
     log.info("gold rows: %s", report.gold_counts)
     if report.gold_failures and raise_on_gold_failure:
@@ -281,8 +358,8 @@ def _load_clean(spark: SparkSession, clean: DataFrame, database: str, report: Ba
     _log_rules("silver", report.silver_suite)
     table = silver_table(database)
     report.touched_dates = upsert_partitioned_table(
-        spark, table, clean, ["event_id"], "event_date",
-        before_commit=lambda dates: V.PendingDates(spark, table).add([str(d) for d in dates]),
+        spark, table, clean, ["event_id"], "event_date", index_table(database),
+        before_write=lambda dates: _add_pending(spark, database, dates),
     )
     log.info("silver upserted; touched dates: %s", format_manifest(report.touched_dates))
 

@@ -50,6 +50,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
 
 
+def remove_folder(spark: SparkSession, uri: str) -> None:
+    """Delete a folder of this library's own, in whatever store Spark reaches it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint_reliably(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage."""
     checkpoint_dir(df.sparkSession)
@@ -75,7 +81,6 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
