@@ -25,14 +25,15 @@ SURVIVOR_ORDER = [c for c in SILVER_COLUMNS if c not in ("event_id", "ingestion_
 SURVIVOR_ORDER.insert(0, "ingestion_timestamp")
 
 
-def standardize(bronze: DataFrame) -> DataFrame:
+def standardize(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Type the timestamps, normalise text case/spaces, derive event_date.
 
     One projection, so Catalyst keeps it in a single codegen stage and the
-    scan reads only the eleven bronze columns.
+    scan reads only the eleven bronze columns (and those of ``keep``).
     """
     ets = C.to_timestamp_ntz("event_timestamp")
     return bronze.select(
+        *keep,
         C.upper_trim("event_id").alias("event_id"),
         ets.alias("event_timestamp"),
         F.to_date(ets).alias("event_date"),
@@ -82,6 +83,20 @@ def dedup_by_id(df: DataFrame) -> DataFrame:
     )
 
 
+def dedup_by_id_and_file(df: DataFrame, landed: str) -> DataFrame:
+    """One row per event_id and file: what ``dedup_by_id`` keeps of each file alone."""
+    payload = F.struct(*[F.col(c) for c in SURVIVOR_ORDER])
+    return df.groupBy("event_id", landed).agg(F.max(payload).alias("_s")).select(
+        landed, "event_id", *[F.col(f"_s.{c}").alias(c) for c in SURVIVOR_ORDER])
+
+
+def last_file_by_id(df: DataFrame, landed: str) -> DataFrame:
+    """One row per event_id: that of the file that landed last."""
+    rest = [c for c in df.columns if c not in ("event_id", landed)]
+    return df.groupBy("event_id").agg(F.max(F.struct(landed, *rest)).alias("_s")).select(
+        "event_id", *[F.col(f"_s.{c}").alias(c) for c in rest]).select(*SILVER_COLUMNS)
+
+
 def drop_null_mandatory(df: DataFrame, mandatory=SILVER_MANDATORY) -> DataFrame:
     """Drop rows with a NULL in any mandatory column."""
     return df.dropna(how="any", subset=list(mandatory))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickvault.operators import cleaning as K
 from clickvault.schemas import PAGE_VIEW, SILVER_COLUMNS, SILVER_LOAD_TS, SILVER_MANDATORY
+from clickvault.sources.bronze import LANDED
 
 
 def silver_clean(bronze: DataFrame) -> DataFrame:
@@ -29,7 +30,13 @@ def silver_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Obser
     checkpoint in ``load_batch``), so logging them costs no extra pass. The
     duplicate-group counts of ``stage_counts`` need aggregations of their
     own and are not included.
+
+    With a ``_landed`` column each file is cleaned as a batch of its own, and of
+    the rows left of an event_id that of the last file is taken, as if the files
+    were loaded one after the other. That costs a second narrow shuffle.
     """
+    if LANDED in bronze.columns:
+        return _files_clean_observed(bronze)
     obs = {n: Observation(n) for n in OBSERVED_STAGES}
     one = F.count(F.lit(1)).alias("rows")
     std = K.standardize(bronze).observe(obs["bronze_rows"], one)
@@ -42,6 +49,19 @@ def silver_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Obser
     return K.fill_defaults(kept), obs
 
 
+def _files_clean_observed(bronze: DataFrame) -> tuple[DataFrame, dict[str, Observation]]:
+    obs = {n: Observation(n) for n in OBSERVED_STAGES}
+    one = F.count(F.lit(1)).alias("rows")
+    std = K.standardize(bronze, (LANDED,)).observe(obs["bronze_rows"], one)
+    by_id = K.dedup_by_id_and_file(std, LANDED).observe(obs["after_id_dedup"], one, *[
+        F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in SILVER_MANDATORY])
+    broken = (F.col("event_type") != PAGE_VIEW) & F.col("product_id").isNull()
+    nonnull = K.drop_null_mandatory(by_id).observe(
+        obs["after_mandatory_nulls"], one, F.count_if(broken).alias("product_rule_violations"))
+    kept = K.product_rule(nonnull).observe(obs["after_product_rule"], one)
+    return K.last_file_by_id(K.fill_defaults(kept), LANDED), obs
+
+
 OBSERVED_STAGES = ["bronze_rows", "after_id_dedup", "after_mandatory_nulls", "after_product_rule"]
 
 

@@ -31,7 +31,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickvault.operators import gold as G
@@ -51,10 +51,12 @@ from clickvault.plans.silver import (
 )
 from clickvault.schemas import GOLD_SPECS, SILVER_DDL, SILVER_LOAD_TS
 from clickvault.session import checkpoint_dir, remove_folder
+from clickvault.sources.bronze import REJECT_COLUMNS, accepted, rejects
 
 SILVER_TABLE = "user_interactions_processed"
 INDEX_TABLE = "silver_event_index"
 PENDING_TABLE = "gold_pending_dates"
+REJECTS_TABLE = "bronze_rejects"
 INDEX_BUCKETS = 8
 #: a rewrite replaces the partitions it writes, whatever the session's setting
 OVERWRITE = "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
@@ -73,6 +75,10 @@ def pending_table(database: str) -> str:
     return f"{database}.{PENDING_TABLE}"
 
 
+def rejects_table(database: str) -> str:
+    return f"{database}.{REJECTS_TABLE}"
+
+
 def gold_table(database: str, name: str) -> str:
     return f"{database}.{name}"
 
@@ -116,6 +122,10 @@ def create_tables(
         f"CREATE TABLE IF NOT EXISTS {pending_table(database)} (event_date date, gold_table string) "
         f"USING parquet {OVERWRITE} PARTITIONED BY (gold_table)"
     )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {rejects_table(database)} "
+        "(file string, line string, reason string, fields int, rejected_at timestamp) USING parquet"
+    )
     for spec in GOLD_SPECS.values():
         cols = [c for c in spec.ddl().split(",\n    ") if not c.startswith("event_date ")]
         spark.sql(
@@ -347,6 +357,22 @@ def load_batch(
     return report
 
 
+def load_landed(spark: SparkSession, landed: DataFrame, database: str, **kw) -> BatchReport:
+    """Load files read by ``read_landed``: lines that are no JSON objects go to the rejects table.
+
+    They are counted as ``rejected_lines``, apart from rows that lack an id. The
+    files count in the order they landed. A load that is run again adds no reject twice.
+    """
+    new = rejects(landed)
+    known = spark.table(rejects_table(database)).select(*REJECT_COLUMNS)
+    count = Observation("rejects")
+    lines = new.observe(count, F.count(F.lit(1)).alias("rows")).join(known, REJECT_COLUMNS, "left_anti")
+    lines.withColumn("rejected_at", F.current_timestamp()).write.insertInto(rejects_table(database))
+    report = load_batch(spark, accepted(landed), database, **kw)
+    report.observed["rejected_lines"] = count.get["rows"]
+    return report
+
+
 def _load_clean(spark: SparkSession, clean: DataFrame, database: str, report: BatchReport) -> None:
     """Gate the cleaned batch and upsert it into Silver."""
     try:

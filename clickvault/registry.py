@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickvault.operators import cleaning as K
 from clickvault.operators import gold as G
@@ -20,8 +21,14 @@ from clickvault.plans import analyst as A
 from clickvault.plans import refresh as R
 from clickvault.plans import silver as S
 from clickvault.plans import tables as T
-from clickvault.schemas import GOLD_SPECS, SILVER_COLUMNS
-from clickvault.session import checkpoint_reliably, ensure_checkpoint_dir
+from clickvault.schemas import BRONZE_COLUMNS, GOLD_SPECS, SILVER_COLUMNS
+from clickvault.session import (
+    checkpoint_dir,
+    checkpoint_reliably,
+    ensure_checkpoint_dir,
+    remove_folder,
+)
+from clickvault.sources import bronze as L
 from clickvault.sources import fixture as FX
 from clickvault.sources.fixture import bronze_view
 
@@ -384,6 +391,43 @@ def q_table_path_channel(spark, sf_dir):
             *GOLD_SPECS["marketing_channel"].columns))
 
 
+# ------------------------------------------------------------ landed JSON lines
+def landed_lines(spark, sf_dir):
+    """The bronze rows landed as JSON lines and read back; some lines are cut off."""
+    ensure_checkpoint_dir(spark)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    bronze = bronze_view(spark, sf_dir)
+    number = F.regexp_extract("event_id", "[0-9]+", 0).cast("long")
+    cut = F.concat(F.lit('{"event_id": "'), F.trim("event_id"), F.lit('", "user_id"'))
+    line = F.when(number % 97 == 0, cut).otherwise(F.to_json(F.struct(*bronze.columns)))
+    bronze.select(line.alias("value")).write.text(path)
+    return L.read_landed(spark, path), path
+
+
+def landed_query(spark, sf_dir, pick):
+    landed, path = landed_lines(spark, sf_dir)
+    try:
+        return checkpoint_reliably(pick(landed))
+    finally:
+        remove_folder(spark, path)
+
+
+_CUT = "CAST(regexp_extract(event_id, '[0-9]+') AS BIGINT) % 97 = 0"
+
+
+@register("landed_rejects", "WITH " + O.BRONZE_CTE + """
+SELECT '{"event_id": "' || trim(event_id) || '", "user_id"' AS line, 'cut off' AS reason,
+       CAST(0 AS INTEGER) AS fields FROM bronze WHERE """ + _CUT)
+def q_landed_rejects(spark, sf_dir):
+    return landed_query(spark, sf_dir, lambda d: L.rejects(d).drop("file"))
+
+
+@register("landed_scan", "WITH " + O.BRONZE_CTE + f"""
+SELECT {", ".join(BRONZE_COLUMNS)} FROM bronze WHERE NOT ({_CUT})""")
+def q_landed_scan(spark, sf_dir):
+    return landed_query(spark, sf_dir, lambda d: L.accepted(d).select(*BRONZE_COLUMNS))
+
+
 # --------------------------------------------------------- analyst questions
 def gold(spark, sf_dir, table):
     return G.BUILDERS[table](silver(spark, sf_dir))

@@ -6,7 +6,7 @@ import uuid
 
 from clickvault.plans import silver as S
 from clickvault.plans import tables as T
-from clickvault.schemas import BRONZE_COLUMNS
+from clickvault.schemas import BRONZE_COLUMNS, SILVER_LOAD_TS
 from clickvault.sources import fixture as FX
 from clickvault.sources.bronze import read_bronze_json, write_bronze_json
 from clickvault.streaming.pickup import start_pickup
@@ -134,3 +134,48 @@ def test_stream_of_daily_files_equals_one_shot(spark, scratch):
         spark.catalog.refreshTable(T.gold_table(db, name))
         table = spark.table(T.gold_table(db, name)).select(*GOLD_SPECS[name].columns)
         assert _rows(table) == _rows(G.BUILDERS[name](final)), name
+
+
+def test_files_of_one_micro_batch_count_in_landing_order(spark, scratch):
+    """Two files with the same ids in one micro-batch give what two loads give."""
+    import json
+
+    def event(i, ingested, **kw):
+        return dict(zip(BRONZE_COLUMNS, [None] * len(BRONZE_COLUMNS))) | {
+            "event_id": i, "user_id": "u1", "session_id": "s1", "event_type": "page_view",
+            "event_timestamp": "2026-09-19T10:00:00", "ingestion_timestamp": ingested} | kw
+
+    late, early = "2026-09-21T00:00:00", "2026-09-20T00:00:00"
+    files = [
+        [event("E1", late, country="first"), event("E2", early, country="first"), event("E3", late)],
+        [event("E1", early, country="second"), event("E2", early, user_id=None),
+         event("E2", late, event_type=None), event("E4", early, country="a"),
+         event("E4", late, country="b")]]
+    broken = ["{\"event_id\": \"E9\"", "hello", "{\"a\": nothing}"]
+    landing = os.path.join(scratch, "order_" + uuid.uuid4().hex)
+    os.makedirs(landing)
+    paths = []
+    for k, rows in enumerate(files):
+        # the file that lands last has the smaller name
+        paths.append(os.path.join(landing, f"{'ba'[k]}.json"))
+        with open(paths[-1], "w") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+            f.writelines(x + "\n" for x in broken[k : k + 2])
+        os.utime(paths[-1], (1_700_000_000 + k, 1_700_000_000 + k))
+    one, two = ("order_" + uuid.uuid4().hex[:8] for _ in range(2))
+    for db in (one, two):
+        T.create_tables(spark, db)
+    q = start_pickup(spark, landing, one, checkpoint_location=os.path.join(landing, "_ckpt"))
+    q.awaitTermination(300)
+    assert [r.observed["rejected_lines"] for r in q.reports] == [4]
+    for path in paths:
+        T.load_batch(spark, read_bronze_json(spark, path), two)
+    read = lambda db, t: _rows(spark.table(f"{db}.{t}").select(
+        *[c for c in spark.table(f"{db}.{t}").columns if c != SILVER_LOAD_TS]))
+    assert {(r.event_id, r.country) for r in spark.table(T.silver_table(one)).collect()} == {
+        ("E1", "Second"), ("E2", "First"), ("E3", "unknown"), ("E4", "B")}
+    for t in (T.SILVER_TABLE, "business_metrics", "marketing_channel"):
+        assert read(one, t) == read(two, t), t
+    got = {(os.path.basename(r.file), r.line, r.reason) for r in spark.table(T.rejects_table(one)).collect()}
+    assert got == {("b.json", broken[0], "cut off"), ("b.json", "hello", "no object"),
+                   ("a.json", "hello", "no object"), ("a.json", broken[2], "malformed")}
