@@ -118,14 +118,34 @@ def partitions_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def release_memory() -> None:
-    """Give back to the system what Arrow and the C library keep for later in this worker."""
+#: functions that empty a memo of a worker process
+MEMOS: list = []
+
+
+def release_memory(memos: bool = False) -> None:
+    """Give back to the system what Arrow and the C library keep for later in this worker.
+
+    A worker goes on with tasks of other stages; with ``memos`` those that do not need what
+    the last stage remembered drop it.
+    """
+    for empty in MEMOS if memos else ():
+        empty()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def lean(run):
+    """A task function that starts without memos of other stages and ends without free memory."""
+    def task(batches):
+        release_memory(memos=True)
+        yield from run(batches)
+        release_memory()
+
+    return task
+
+
 def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: str) -> DataFrame:
     """``df`` with the number of each row (from 1) in ``order``.
 
@@ -148,7 +168,7 @@ def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: st
 
 
 # ------------------------------------------------------------------ Arrow text
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def string_buffers(column) -> tuple[np.ndarray, np.ndarray]:

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import (
     Scratch,
     combine_hashes,
+    lean,
     row_chunks,
     string_buffers,
     word_hashes,
@@ -226,8 +227,17 @@ def _matrix(blobs, dim: int) -> np.ndarray:
     return np.frombuffer(data, "<f4").reshape(-1, dim)
 
 
-def _featurise(batches):
+ROWS = 2_000  # documents featurised at a time
+
+
+def _small(batches):
     for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
+def _featurise(batches):
+    for batch in _small(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), _blobs(text_features(batch.column("text"))),
              _blobs(meta_features(*(batch.column(c) for c in ("source", "lang", "n_chars"))))],
@@ -340,7 +350,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    return _columns(docs).mapInArrow(_featurise, "doc_id long, xt binary, xm binary")
+    return _columns(docs).mapInArrow(lean(_featurise), "doc_id long, xt binary, xm binary")
 
 
 def _calibration_fold(y: np.ndarray) -> np.ndarray:
@@ -393,7 +403,7 @@ def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw) -> DataF
 
 def _keep(model: Model, keep: float):
     def run(batches):
-        for batch in batches:
+        for batch in _small(batches):
             p = model.scores(
                 text_features(batch.column("_x_text")),
                 meta_features(*(batch.column(f"_x_{c}") for c in ("source", "lang", "n_chars"))))
@@ -415,4 +425,4 @@ def keep_documents(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw)
         (F.col(c).cast(k) if c in have else F.lit(None).cast(k)).alias(f"_x_{c}")
         for c, k in (("text", "string"), ("source", "string"), ("lang", "string"),
                      ("n_chars", "long"))])
-    return wide.mapInArrow(_keep(model, keep), docs.schema)
+    return wide.mapInArrow(lean(_keep(model, keep)), docs.schema)

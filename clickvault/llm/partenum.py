@@ -50,6 +50,7 @@ from clickvault.llm.common import (
     attempt_name,
     combine_hashes,
     connected_components,
+    lean,
     mix64,
     open_fs,
     partitions_for,
@@ -411,7 +412,7 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
     spark = docs.sparkSession
     sc = Scratch(spark, "partenum")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = sc.write(texts.mapInArrow(_sign(width), _SIGNED), "signed")
+    signed = sc.write(texts.mapInArrow(lean(_sign(width)), _SIGNED), "signed")
     has_set = signed.where("cls is not null and doc_id is not null")
     # the class of equal sets is named by its smallest document
     classes = sc.write(
@@ -420,7 +421,7 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
 
     # signatures are made on the way into the exchange and are written nowhere else
     sig_rows = texts.where("doc_id is not null").mapInArrow(
-        _signature_rows(num, den, width), "sig long, cls long")
+        lean(_signature_rows(num, den, width)), "sig long, cls long")
     shared = sc.write(
         sig_rows.repartition(partitions_for(spark), "sig").sortWithinPartitions("sig", "cls")
         .mapInArrow(_shared_signatures, "sig long, cls long, leader long"), "shared")
@@ -431,7 +432,7 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
     root = sc.uri("sets")
     places = sc.write(
         texts.join(wanted, "doc_id").select("text", "want")
-        .mapInArrow(_store_sets(root, width), "cls long, file string, at long, size long")
+        .mapInArrow(lean(_store_sets(root, width)), "cls long, file string, at long, size long")
         .dropDuplicates(["cls"]).join(classes, "cls"), "places")
     sc.release_shuffles()
 

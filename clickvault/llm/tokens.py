@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-from clickvault.llm.common import release_memory
+from clickvault.llm.common import MEMOS, release_memory
 
 MEMO_ENTRIES = 500_000
 MEMO_PIECE = 64  # longer pieces are not remembered
@@ -153,6 +153,9 @@ def memo_encoder(path: str) -> MemoEncoder:
     return MemoEncoder(Tokenizer.from_file(path))
 
 
+MEMOS.append(memo_encoder.cache_clear)
+
+
 def encode_rows(texts: list, path: str, chars: int = 4_000_000):
     """(row, ids bytes) for every text (None: empty), a bounded part of the rows at a time."""
     enc = memo_encoder(path)
