@@ -10,7 +10,6 @@ speculative task never leaves a file that is read twice.
 from __future__ import annotations
 
 import ctypes
-import gc
 import io
 import os
 import tempfile
@@ -66,6 +65,9 @@ def ship_package(spark: SparkSession) -> None:
     sc._clickvault_shipped = True
 
 
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Parquet tables of one run below the shared folder, dropped together at its end."""
 
@@ -77,8 +79,16 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back: cuts the lineage, survives lost executors."""
-        df.write.mode("overwrite").parquet(self.uri(name))
+        """Write ``df`` and read it back: cuts the lineage, survives lost executors.
+
+        The plan is not run again, so its shuffle files go as soon as the table is written.
+        """
+        conf, before = self.spark.conf, self.spark.conf.get(CLEAN_SHUFFLES, "false")
+        conf.set(CLEAN_SHUFFLES, "true")
+        try:
+            df.write.mode("overwrite").parquet(self.uri(name))
+        finally:
+            conf.set(CLEAN_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(self.uri(name))
 
     def drop(self, name: str | None = None) -> None:
@@ -87,14 +97,6 @@ class Scratch:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path.getFileSystem(conf).delete(path, True)
 
-    def release_shuffles(self) -> None:
-        """Let Spark remove the shuffle files of plans that are written and no longer used.
-
-        Spark's cleaner does so when the driver collects its garbage, which may be long after.
-        """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
     def finish(self, df: DataFrame) -> DataFrame:
         """Checkpoint the (small) result, then drop every table of the run."""
         out = checkpoint_reliably(df)

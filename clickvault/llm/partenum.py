@@ -425,7 +425,6 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
     shared = sc.write(
         sig_rows.repartition(partitions_for(spark), "sig").sortWithinPartitions("sig", "cls")
         .mapInArrow(_shared_signatures, "sig long, cls long, leader long"), "shared")
-    sc.release_shuffles()
 
     wanted = classes.join(shared.select("cls").distinct(), "cls", "left_semi").select(
         F.col("rep").alias("doc_id"), F.col("cls").alias("want"))
@@ -434,7 +433,6 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
         texts.join(wanted, "doc_id").select("text", "want")
         .mapInArrow(lean(_store_sets(root, width)), "cls long, file string, at long, size long")
         .dropDuplicates(["cls"]).join(classes, "cls"), "places")
-    sc.release_shuffles()
 
     def side(tag: str, key: str) -> DataFrame:
         return places.select(F.col("cls").alias(key), *[
