@@ -284,7 +284,7 @@ def _store_sets(root: str, width: int):
 class SetReader:
     """Sets of the shared files by (file, offset, size), with a bounded cache."""
 
-    def __init__(self, root: str, cache_bytes: int = 64 << 20):
+    def __init__(self, root: str, cache_bytes: int = 16 << 20):
         self.fs, self.base = open_fs(root)
         self.files: dict = {}
         self.cache: dict = {}
@@ -365,6 +365,7 @@ def link_unit(rows: dict, cross: bool, get, num: int, den: int) -> list[tuple[in
             if x != y and jaccard_at_least(get(i), get(j), num, den):
                 parent[max(x, y)] = min(x, y)
                 links.append((rows["rep"][i], rows["rep"][j]))
+                codes[codes == codes[j]] = codes[i]  # one component from here on
     return links
 
 
@@ -463,7 +464,7 @@ def jaccard_components(docs: DataFrame, num: int = 90, den: int = 100, width: in
     more = sc.write(
         units.repartitionByRange(partitions_for(spark), "sig", "lo", "hi")
         .sortWithinPartitions("sig", "lo", "hi", "rep")
-        .mapInArrow(_link_rest(root, num, den), "a long, b long"), "more")
+        .mapInArrow(lean(_link_rest(root, num, den)), "a long, b long"), "more")
     if not more.isEmpty():
         comp = connected_components(links.union(more), sc, "last")
 
