@@ -156,6 +156,60 @@ def test_wavelet_awkward(spark):
     assert wavelet.write_and_read(docs.limit(0), queries.BYTE_BPE).count() == 0
 
 
+def test_wavelet_blocks_of_large_planes():
+    rng = np.random.default_rng(4)
+    v = np.minimum(rng.zipf(1.3, 3 * wavelet.BLOCK + 77), 50_000) - 1
+    data = wavelet.dump_shard(v, np.arange(1), np.zeros(1), 16)
+    read = []
+
+    def part(at, n):
+        read.append(n)
+        return data[at : at + n]
+
+    m = wavelet.ShardFile(part)
+    assert sum(read) < len(data) // 20  # the directory alone
+    for t in (0, 3, 900, 49_999):
+        where = np.flatnonzero(v == t)
+        assert m.count(t) == len(where) and m.rank(t, wavelet.BLOCK + 5) == (where < wavelet.BLOCK + 5).sum()
+        assert m.positions(t) == where.tolist()
+    read.clear()
+    other = wavelet.ShardFile(part)
+    for i in (0, wavelet.BLOCK, len(v) - 1):
+        assert other.access(i) == v[i]
+    assert sum(read) < len(data)
+    with pytest.raises(IndexError):
+        other.access(len(v))
+    assert m.tokens().tolist() == v.tolist()
+
+
+def test_wavelet_lookups_over_files(spark, docs):
+    lib = library(queries.BYTE_BPE)
+    rows = [(None if r.doc_id % 3 == 0 else r.doc_id, r.text) for r in docs.collect()]
+    some = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sc = common.Scratch(spark, "t")
+    root = sc.uri("s")
+    m = sc.write(wavelet.write_shards(some, root, queries.BYTE_BPE, 0, shard_tokens=5000), "m")
+    # a third of the rows without an id are shared by several tasks
+    assert m.where("at = 0").count() > 2 and m.count() > 5
+    seen = {}
+    for d, t in rows:
+        for i, x in enumerate([*lib.encode(t or "", add_special_tokens=False).ids, 0]):
+            seen.setdefault(x, []).append((-1 if d is None else d, i))
+    tokens = [0, *sorted(seen, key=lambda x: -len(seen[x]))[:3], max(seen), 49_999]
+    want = {t: len(seen.get(t, [])) for t in tokens}
+    assert dict(map(tuple, wavelet.count_tokens(m, root, tokens).collect())) == want
+    found = wavelet.find_tokens(m, root, tokens)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.token, []).append((-1 if r.doc_id is None else r.doc_id, r.place))
+    assert {t: sorted(x) for t, x in got.items()} == {
+        t: sorted(seen[t]) for t in set(tokens) if t in seen}
+    asked = found.select("file", "at", "token").dropDuplicates(["file", "at"])
+    back = wavelet.tokens_at(asked, root)
+    assert back.count() == asked.count() and back.join(
+        asked.withColumnRenamed("token", "want"), ["file", "at"]).where("token <> want").count() == 0
+
+
 # --------------------------------------------------------------------------- 4
 def brute_warc(rows):
     sha = {}
