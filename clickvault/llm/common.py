@@ -138,16 +138,26 @@ def release_memory(memos: bool = False) -> None:
         trim(0)
 
 
-def lean(run):
-    """A task function that starts without memos of other stages and ends without free memory."""
+def lean(run, rows: int | None = None):
+    """A task function that starts without memos of other stages and ends without free memory.
+
+    With ``rows`` it is given its batches in parts of so many rows at most.
+    """
     def task(batches):
         release_memory(memos=True)
-        yield from run(batches)
+        yield from run(batches if rows is None else parts(batches, rows))
         release_memory()
 
     return task
 
 
+def parts(batches, rows: int):
+    """Arrow batches cut into parts of at most ``rows`` rows."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: str) -> DataFrame:
     """``df`` with the number of each row (from 1) in ``order``.
 

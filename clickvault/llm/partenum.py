@@ -9,7 +9,8 @@ hashes the feature domain into ``n1`` partitions, so that one of them holds
 at most ``k2`` differences, and each of these into ``n2`` parts; dropping
 every choice of ``k2`` parts, some remaining subset is equal in both sets.
 The hash of each (instance, partition, subset) is a signature, so every
-similar pair shares at least one.
+similar pair shares at least one. Subsets that hold no element are signed only
+by sets so sparse that they need them.
 
 How the pairs of a signature are resolved without listing them:
 
@@ -39,6 +40,7 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 from itertools import combinations
+from math import comb, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -74,47 +76,69 @@ def bands(num: int, den: int, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def instance(num: int, den: int, high: int) -> tuple[int, int, int, int]:
-    """(k, n1, n2, k2) of the instance whose larger band ends at ``high``."""
+def instance(num: int, den: int, low: int, high: int) -> tuple[int, int, int, int]:
+    """(k, n1, n2, k2) of the instance for sets of ``low`` to ``high`` elements.
+
+    Of an instance's subsets at least ``2 n1 - k`` are equal in two similar sets. So many
+    partitions are taken that a set seldom has as many empty subsets, which then carry no
+    signature (``signatures``).
+    """
     k = 2 * high * (den - num) // (den + num)
     if k == 0:
         return 0, 1, 1, 0
     # few differences: larger subsets, which select better; many: pairs of parts
     n2, k2 = (3, 1) if k < 12 else (2, 1)
-    return k, -(-(k + 1) // (k2 + 1)), n2, k2
+    n1 = -(-(k + 1) // (k2 + 1))
+    while n1 < 2 * (k + 1):
+        subsets = n1 * comb(n2, k2)
+        empty = subsets * exp(-(n2 - k2) * low / (n1 * n2))
+        if 2 * n1 - k > empty + 3 * sqrt(empty):
+            break
+        n1 += 1
+    return k, n1, n2, k2
 
 
 @lru_cache(maxsize=65536)
-def _plan(num: int, den: int, size: int) -> list[tuple[int, int, int, int]]:
-    """Instances of a set of ``size``: (band, n1, n2, k2), equal-only ones left out."""
+def _plan(num: int, den: int, size: int) -> list[tuple[int, int, int, int, int]]:
+    """Instances of a set of ``size``: (band, k, n1, n2, k2), equal-only ones left out."""
     b = bands(num, den, size)
     i = len(b) - 1
-    low = b[-1][1] + 1
+    after = b[-1][1] + 1
     out = []
-    for j, high in ((i, b[-1][1]), (i + 1, low * den // num)):
-        k, n1, n2, k2 = instance(num, den, high)
+    for j, low, high in ((i, b[max(0, i - 1)][0], b[-1][1]), (i + 1, b[-1][0], after * den // num)):
+        k, n1, n2, k2 = instance(num, den, low, high)
         if k:
-            out.append((j, n1, n2, k2))
+            out.append((j, k, n1, n2, k2))
     return out
 
 
 def signatures(elements: np.ndarray, num: int, den: int) -> np.ndarray:
-    """PartEnum signatures (uint64) of a sorted array of distinct element hashes."""
+    """PartEnum signatures (uint64) of a sorted array of distinct element hashes.
+
+    Empty subsets are alike in sets that have nothing in common. A set with fewer of them
+    than the subsets equal in any similar set shares one that is not empty with each, and
+    leaves them out; a set with more signs them too.
+    """
     out = []
-    for band, n1, n2, k2 in _plan(num, den, len(elements)):
+    for band, k, n1, n2, k2 in _plan(num, den, len(elements)):
         part = (mix64(elements + np.uint64(0x51ED27)) % np.uint64(n1 * n2)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(elements[order]))])
         ends = np.cumsum(np.bincount(part, minlength=n1 * n2))
         starts = ends - np.diff(ends, prepend=0)
         part_sum = (sums[ends] - sums[starts]).reshape(n1, n2)
+        filled = (ends > starts).reshape(n1, n2)
+        found, some = [], []
         for c, keep in enumerate(combinations(range(n2), n2 - k2)):
             tag = (np.arange(n1, dtype=np.uint64) * np.uint64(64) + np.uint64(c)) \
                 * np.uint64(1 << 20) + np.uint64(band)
             total = part_sum[:, keep[0]].copy()
             for p in keep[1:]:
                 total += part_sum[:, p]
-            out.append(mix64(mix64(tag) + total))
+            found.append(mix64(mix64(tag) + total))
+            some.append(filled[:, keep].any(axis=1))
+        sigs, some = np.concatenate(found), np.concatenate(some)
+        out.append(sigs[some] if np.count_nonzero(~some) < 2 * n1 - k else sigs)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import (
     Scratch,
     _powers,
+    lean,
     mix64,
     row_chunks,
     string_buffers,
@@ -28,6 +29,7 @@ from clickvault.llm.common import (
     word_spans,
 )
 
+TASK_ROWS = 1024  # rows a task takes at a time
 _WORD = re.compile(r"\S+")
 _SECOND = np.uint64(0xA0761D6478BD642F)
 
@@ -141,7 +143,7 @@ def repeated_windows(docs: DataFrame, sc: Scratch, width: int) -> DataFrame:
     key = [F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("_row")]
     # rows equal in doc_id and text are one document, with the marks of one
     all_rows = sc.write(texts.mapInArrow(
-        _winnow(width), "doc_id long, _row long, words long, a long, b long, names array<long>"),
+        lean(_winnow(width), TASK_ROWS), "doc_id long, _row long, words long, a long, b long, names array<long>"),
         "names")
     copies = sc.write(_later(all_rows.drop("names"), F.struct(*key), sc, "wholes")
                       .select("doc_id", "_row").distinct(), "copies")
@@ -157,7 +159,7 @@ def repeated_windows(docs: DataFrame, sc: Scratch, width: int) -> DataFrame:
                      .agg(F.collect_set("name").alias("_names")), "asked")
     windows = sc.write(
         texts.join(asked.withColumnsRenamed(other), same).drop("_doc", "_of").mapInArrow(
-            _window_rows(width), "doc_id long, _row long, p long, a long, b long"), "windows")
+            lean(_window_rows(width), TASK_ROWS), "doc_id long, _row long, p long, a long, b long"), "windows")
     later = _later(windows, F.struct(*key, "p"), sc, "window-again")
     return later.select("doc_id", "_row", "p").union(
         copies.select("doc_id", "_row", F.lit(-1).cast("long")))

@@ -156,7 +156,7 @@ def memo_encoder(path: str) -> MemoEncoder:
 MEMOS.append(memo_encoder.cache_clear)
 
 
-def encode_rows(texts: list, path: str, chars: int = 4_000_000):
+def encode_rows(texts: list, path: str, chars: int = 1_500_000):
     """(row, ids bytes) for every text (None: empty), a bounded part of the rows at a time."""
     enc = memo_encoder(path)
     i = 0

@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickvault.llm import passages
-from clickvault.llm.common import Scratch
+from clickvault.llm.common import Scratch, lean
 
 MIN_WORDS = 50
+TASK_ROWS = 1024  # rows a task takes at a time
 _LINE = re.compile(r"[^\n]*\n?")
 _PARAGRAPH = re.compile(r"(?:[^\n]*\S[^\n]*\n?)+|[^\n]*\n?")
 ADDED = ["n_units", "n_removed_units", "removed_spans"]
@@ -164,7 +165,7 @@ def repeated_units(docs: DataFrame, sc: Scratch, kind: str = "line") -> DataFram
     """(doc_id, _row, n) of every unit occurrence but the earliest of its digest."""
     rows = sc.write(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "_row", "text").mapInArrow(
-            _unit_rows(kind), "doc_id long, _row long, n long, words long, digest binary"), "rows")
+            lean(_unit_rows(kind), TASK_ROWS), "doc_id long, _row long, n long, words long, digest binary"), "rows")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row", "n")
     # counts and minima combine on the map side: a digest in a third of all rows is one row a task
     again = (rows.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("k"))
@@ -194,4 +195,4 @@ def dedup_units(docs: DataFrame, min_words: int = MIN_WORDS, kind: str = "line",
         marks.withColumnsRenamed({"doc_id": "_doc", "_row": "_of"}),
         (F.col("_row") == F.col("_of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")),
         "left").drop("_doc", "_of")
-    return joined.mapInArrow(_apply(schema, min_words, kind), schema)
+    return joined.mapInArrow(lean(_apply(schema, min_words, kind), TASK_ROWS), schema)

@@ -119,6 +119,23 @@ def test_partenum_similar_sets_share_a_signature():
                 assert set(partenum.signatures(a, 90, 100)) & set(partenum.signatures(cut, 90, 100))
 
 
+@pytest.mark.parametrize("num", [80, 90, 95])
+def test_partenum_sparse_sets_share_a_signature(num):
+    """Also where sets are so small that many of their subsets are empty."""
+    rng, linked = np.random.default_rng(num), 0
+    for size in [*range(1, 60), 90, 130, 250]:
+        for _ in range(12):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            gone = int(rng.integers(0, size * (100 - num) // 100 + 1))
+            new = int(rng.integers(0, size * (100 - num) // 100 + 1))
+            b = np.unique(np.concatenate(
+                [rng.permutation(a)[gone:], rng.integers(0, 2**64, new, dtype=np.uint64)]))
+            if len(b) and not np.array_equal(a, b) and partenum.jaccard_at_least(a, b, num, 100):
+                linked += 1
+                assert set(partenum.signatures(a, num, 100)) & set(partenum.signatures(b, num, 100))
+    assert linked > 60
+
+
 def base_measures(text):
     w = WORD.findall(text or "")
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
