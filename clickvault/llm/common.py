@@ -66,6 +66,8 @@ def ship_package(spark: SparkSession) -> None:
 
 
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TASK_ROWS = 2_000  # rows handed to a Python task at a time while a table is written
 
 
 class Scratch:
@@ -83,12 +85,16 @@ class Scratch:
 
         The plan is not run again, so its shuffle files go as soon as the table is written.
         """
-        conf, before = self.spark.conf, self.spark.conf.get(CLEAN_SHUFFLES, "false")
-        conf.set(CLEAN_SHUFFLES, "true")
+        conf = self.spark.conf
+        want = {CLEAN_SHUFFLES: "true", ARROW_ROWS: str(TASK_ROWS)}
+        before = {k: conf.get(k, None) for k in want}
+        for k, v in want.items():
+            conf.set(k, v)
         try:
             df.write.mode("overwrite").parquet(self.uri(name))
         finally:
-            conf.set(CLEAN_SHUFFLES, before)
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         return self.spark.read.schema(df.schema).parquet(self.uri(name))
 
     def drop(self, name: str | None = None) -> None:
@@ -180,7 +186,7 @@ def number_rows(df: DataFrame, order: list, scratch: Scratch, name: str, col: st
 
 
 # ------------------------------------------------------------------ Arrow text
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def string_buffers(column) -> tuple[np.ndarray, np.ndarray]:

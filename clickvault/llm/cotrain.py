@@ -227,17 +227,11 @@ def _matrix(blobs, dim: int) -> np.ndarray:
     return np.frombuffer(data, "<f4").reshape(-1, dim)
 
 
-ROWS = 2_000  # documents featurised at a time
-
-
-def _small(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, ROWS):
-            yield batch.slice(at, ROWS)
+ROWS = 1_000  # documents a task takes at a time
 
 
 def _featurise(batches):
-    for batch in _small(batches):
+    for batch in batches:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), _blobs(text_features(batch.column("text"))),
              _blobs(meta_features(*(batch.column(c) for c in ("source", "lang", "n_chars"))))],
@@ -310,7 +304,7 @@ def _add_up(batches):
 
 def _summed(feats: DataFrame, lessons) -> list[np.ndarray]:
     """The sums of all documents, added up by ``MERGES`` tasks before they come to the driver."""
-    each = feats.mapInArrow(lessons, "v0 binary, v1 binary")
+    each = feats.mapInArrow(lean(lessons, ROWS), "v0 binary, v1 binary")
     some = each.repartition(MERGES).mapInArrow(_add_up, "v0 binary, v1 binary").collect()
     return [np.sum([np.frombuffer(r[f"v{v}"], np.float64) for r in some], axis=0) for v in (0, 1)]
 
@@ -350,7 +344,7 @@ def _columns(docs: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    return _columns(docs).mapInArrow(lean(_featurise), "doc_id long, xt binary, xm binary")
+    return _columns(docs).mapInArrow(lean(_featurise, ROWS), "doc_id long, xt binary, xm binary")
 
 
 def _calibration_fold(y: np.ndarray) -> np.ndarray:
@@ -396,14 +390,14 @@ def score(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw) -> DataF
     feats = sc.write(features(docs), "features")
     model = train(feats, labels, **kw)
     out = feats.mapInArrow(
-        _score_features(model), "doc_id long, text_score double, meta_score double, score double")
+        lean(_score_features(model), ROWS), "doc_id long, text_score double, meta_score double, score double")
     kept = F.lit(True) if model.text is None else F.col("score") >= keep
     return sc.finish(out.withColumn("kept", kept))
 
 
 def _keep(model: Model, keep: float):
     def run(batches):
-        for batch in _small(batches):
+        for batch in batches:
             p = model.scores(
                 text_features(batch.column("_x_text")),
                 meta_features(*(batch.column(f"_x_{c}") for c in ("source", "lang", "n_chars"))))
@@ -425,4 +419,4 @@ def keep_documents(docs: DataFrame, labels: DataFrame, keep: float = KEEP, **kw)
         (F.col(c).cast(k) if c in have else F.lit(None).cast(k)).alias(f"_x_{c}")
         for c, k in (("text", "string"), ("source", "string"), ("lang", "string"),
                      ("n_chars", "long"))])
-    return wide.mapInArrow(lean(_keep(model, keep)), docs.schema)
+    return wide.mapInArrow(lean(_keep(model, keep), ROWS), docs.schema)
