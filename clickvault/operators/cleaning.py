@@ -17,12 +17,15 @@ from clickvault.schemas import (
     SILVER_COLUMNS,
     SILVER_MANDATORY,
 )
+from clickvault.session import checkpoint_reliably
 
 # Survivor order for rows sharing an event_id: latest ingestion first, then
 # the other columns, each descending with NULLs last. ``max`` over a struct
 # compares field by field with NULL lowest, which is exactly that order.
 SURVIVOR_ORDER = [c for c in SILVER_COLUMNS if c not in ("event_id", "ingestion_timestamp")]
 SURVIVOR_ORDER.insert(0, "ingestion_timestamp")
+#: repeated ids (8 bytes each) that are broadcast at most
+MOST_REPEATED = 1_000_000
 
 
 def standardize(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -83,6 +86,25 @@ def dedup_by_id(df: DataFrame) -> DataFrame:
     )
 
 
+def dedup_by_id_two_phase(df: DataFrame, most_repeated: int = MOST_REPEATED) -> DataFrame:
+    """``dedup_by_id`` that orders and shuffles only rows whose event_id is repeated.
+
+    A hash aggregate over 8-byte digests of the ids finds the repeated ones; all other
+    rows pass as they are. A digest shared by two ids only sends a row the longer way.
+    The repeated digests are broadcast up to ``most_repeated``; with more of them
+    all rows take the one-phase plan. ``df`` is read three times, so it should be
+    cheap to read, e.g. staged.
+    """
+    named = df.withColumn("_id", F.xxhash64("event_id"))
+    repeated = checkpoint_reliably(
+        named.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id"))
+    if repeated.count() > most_repeated:
+        return dedup_by_id(df)
+    once = named.join(F.broadcast(repeated), "_id", "left_anti").select(*SILVER_COLUMNS)
+    again = named.join(F.broadcast(repeated), "_id", "left_semi")
+    return once.unionByName(dedup_by_id(again))
+
+
 def dedup_by_id_and_file(df: DataFrame, landed: str) -> DataFrame:
     """One row per event_id and file: what ``dedup_by_id`` keeps of each file alone."""
     payload = F.struct(*[F.col(c) for c in SURVIVOR_ORDER])

@@ -18,6 +18,8 @@ from clickvault.operators import metrics as M
 from clickvault.operators import quality as Q
 from clickvault.oracle import sql as O
 from clickvault.plans import analyst as A
+from clickvault.plans import distinct as D
+from clickvault.plans import incremental as I
 from clickvault.plans import refresh as R
 from clickvault.plans import silver as S
 from clickvault.plans import tables as T
@@ -91,6 +93,12 @@ def q_silver_dedup_by_id(spark, sf_dir):
     return K.dedup_by_id(K.drop_exact_duplicates(std(spark, sf_dir)))
 
 
+@register("silver_dedup_two_phase", O.BASE + "SELECT * FROM byid")
+def q_silver_dedup_two_phase(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    return K.dedup_by_id_two_phase(std(spark, sf_dir))
+
+
 @register(
     "null_profile",
     O.BASE
@@ -363,6 +371,91 @@ for _name, _table, _cte in [
     register(_rname, O.REPLAY + f"SELECT * FROM gf_{_cte}")(_refresh)
 
 
+# --------------------------------------------- kept up to date by changes alone
+for _table, _cte in [
+    ("business_metrics", "gold_business"),
+    ("marketing_funnel", "gold_funnel"),
+    ("marketing_channel", "gold_channel"),
+    ("product_performance", "gold_product"),
+]:
+    def _incremental(spark, sf_dir, _t=_table):
+        s1, b2 = replay(spark, sf_dir)
+        state = I.key_counters(I.inserted(s1), _t)
+        delta = I.key_counters(I.signed_changes(s1, b2), _t)
+        change = I.measure_changes(state, delta, _t)
+        return I.gold_of(I.refresh_measures(I.measures_of(state, _t), change, _t), _t)
+
+    register(f"gold_incremental_{_cte.removeprefix('gold_')}",
+             O.REPLAY + f"SELECT * FROM gf_{_cte}")(_incremental)
+
+
+@register(
+    "late_arrival_incremental",
+    O.REPLAY
+    + "SELECT event_date, CAST(date_diff('day', event_date, CAST(ingestion_timestamp AS DATE)) "
+    "AS INTEGER) AS days_late, count(*) AS events FROM final_silver GROUP BY ALL",
+)
+def q_late_arrival_incremental(spark, sf_dir):
+    s1, b2 = replay(spark, sf_dir)
+    return I.refresh_lateness(
+        A.late_arrival_profile(s1), I.lateness_changes(I.signed_changes(s1, b2)))
+
+
+# --------------------------------------------- exact distinct counts over many days
+SOURCE = ["traffic_source"]
+_ALL_STAGES = "count(DISTINCT user_id) AS total, " + O.STAGE_AGGS
+
+
+def day_state(spark, sf_dir, column):
+    ensure_checkpoint_dir(spark)
+    rows = silver(spark, sf_dir)
+    return D.day_bitmaps(rows, D.number_keys(rows, column), column, SOURCE)
+
+
+@register(
+    "users_by_source_bitmaps",
+    O.BASE + f"SELECT traffic_source, {_ALL_STAGES} FROM silver GROUP BY traffic_source",
+)
+def q_users_by_source_bitmaps(spark, sf_dir):
+    return D.exact_counts(day_state(spark, sf_dir, "user_id"), SOURCE)
+
+
+@register(
+    "sessions_by_source_bitmaps",
+    O.BASE + "SELECT traffic_source, count(DISTINCT session_id) AS total FROM silver "
+    "GROUP BY traffic_source",
+)
+def q_sessions_by_source_bitmaps(spark, sf_dir):
+    return D.exact_counts(day_state(spark, sf_dir, "session_id"), SOURCE).select(*SOURCE, "total")
+
+
+@register(
+    "users_rolling_week",
+    O.BASE
+    + f"SELECT d.event_date, traffic_source, {_ALL_STAGES} "
+    "FROM (SELECT DISTINCT event_date FROM silver) d "
+    "JOIN silver s ON s.event_date BETWEEN d.event_date - 6 AND d.event_date "
+    "GROUP BY d.event_date, traffic_source",
+)
+def q_users_rolling_week(spark, sf_dir):
+    return D.rolling_counts(day_state(spark, sf_dir, "user_id"), 7, SOURCE)
+
+
+@register(
+    "users_by_source_after_late",
+    O.REPLAY + f"SELECT traffic_source, {_ALL_STAGES} FROM final_silver GROUP BY traffic_source",
+)
+def q_users_by_source_after_late(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    s1, b2 = replay(spark, sf_dir)
+    users = D.number_keys(s1, "user_id")
+    state = D.day_bitmaps(s1, users, "user_id", SOURCE)
+    dates = R.touched_dates(s1, b2)
+    users = D.number_keys(b2, "user_id", users)
+    fresh = D.day_bitmaps(R.silver_slice(R.upsert_silver(s1, b2), dates), users, "user_id", SOURCE)
+    return D.exact_counts(D.replace_days(state, fresh, dates), SOURCE)
+
+
 # ------------------------------------------------------------- the table path
 def loaded_tables(spark, sf_dir, pick):
     """``pick(database)`` after both batches are loaded into real tables, which then go."""
