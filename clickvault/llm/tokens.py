@@ -21,6 +21,7 @@ from clickvault.llm.common import MEMOS, release_memory
 MEMO_ENTRIES = 500_000
 MEMO_PIECE = 64  # longer pieces are not remembered
 LEARN = 20_000  # new pieces encoded in one call
+RELEASE = 32_000_000  # characters after which a worker gives free memory back
 _CUT = re.compile(r"(?<=\S) ")
 TAIL = ".,"
 BARE = "\r"  # marks a piece that has no space before it
@@ -39,6 +40,7 @@ class MemoEncoder:
             self.opens[i] = t.startswith("Ġ")
         self.newline = self._array("\n")
         self.start()
+        self.since = 0  # characters encoded since memory was given back
         self.odd: dict[str, bytes] = {}  # other pieces, as they stand
 
     def start(self) -> None:
@@ -156,7 +158,7 @@ def memo_encoder(path: str) -> MemoEncoder:
 MEMOS.append(memo_encoder.cache_clear)
 
 
-def encode_rows(texts: list, path: str, chars: int = 1_500_000):
+def encode_rows(texts: list, path: str, chars: int = 4_000_000):
     """(row, ids bytes) for every text (None: empty), a bounded part of the rows at a time."""
     enc = memo_encoder(path)
     i = 0
@@ -166,6 +168,8 @@ def encode_rows(texts: list, path: str, chars: int = 1_500_000):
             n += len(texts[j] or "")
             j += 1
         yield from zip(range(i, j), enc.encode([t or "" for t in texts[i:j]]))
-        i = j
+        i, enc.since = j, enc.since + n
     # a worker is used again by other stages: give back what Arrow and the C library hold free
-    release_memory()
+    if enc.since >= RELEASE:
+        enc.since = 0
+        release_memory()
