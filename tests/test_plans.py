@@ -109,6 +109,24 @@ def test_table_path_two_batches_equal_one_shot(spark):
         assert _rows(got) == _rows(G.BUILDERS[name](final)), name
 
 
+def test_silver_buckets_grow_with_rows_and_cores(spark, monkeypatch):
+    from clickvault import registry
+    from clickvault.plans import tables as T
+
+    assert T.buckets_for(100_000, 12) == 8
+    assert T.buckets_for(6_000_000, 12) == 24
+    assert T.buckets_for(36_000_000, 12) == 36
+    # the table path asks for as many as its rows fill, and gives the same rows
+    monkeypatch.setattr(T, "TASK_ROWS", 100)
+    monkeypatch.setattr(T, "BUCKET_ROWS", 100)
+    made, create = [], T.create_tables
+    monkeypatch.setattr(T, "create_tables", lambda *a, **k: (made.append(k), create(*a, **k)))
+    got = registry.QUERIES["table_path_silver"](spark, SF_SMALL)
+    rows = FX.load_table(spark, SF_SMALL, "events").count()
+    assert made[0]["silver_buckets"] == -(-rows // 100) > 8
+    assert _rows(got) == _rows(S.silver_clean(FX.bronze_view(spark, SF_SMALL)))
+
+
 def test_rolled_up_channel_level_gives_business_and_funnel(spark):
     silver = S.silver_clean(FX.bronze_view(spark, SF_MID))
     level = G.stage_level(silver, G.CHANNEL.grain, True)
