@@ -5,7 +5,8 @@ space, around single line breaks, and before full stops and commas that end a
 piece after a letter or digit. The byte-level pre-tokenizer always has a boundary
 there, so every piece is encoded alike wherever it stands and its ids can be
 remembered; the library itself encodes each piece that is not in the memo. The
-memo is bounded.
+memo is bounded. Arrow numbers the different pieces of a batch, so each is looked up
+once, and numpy deals their ids out to the places where they stand.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from clickvault.llm.common import MEMOS, release_memory
 
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 400_000  # of the memo and of the one before it, each
 MEMO_PIECE = 64  # longer pieces are not remembered
-LEARN = 20_000  # new pieces encoded in one call
+LEARN = 1_000  # new pieces encoded in one call; the library takes longer for each in long texts
 RELEASE = 32_000_000  # characters after which a worker gives free memory back
 _CUT = re.compile(r"(?<=\S) ")
 TAIL = ".,"
@@ -39,13 +42,16 @@ class MemoEncoder:
         for t, i in vocab.items():
             self.opens[i] = t.startswith("Ġ")
         self.newline = self._array("\n")
+        self.memo: dict[str, bytes] = {}
         self.start()
         self.since = 0  # characters encoded since memory was given back
         self.odd: dict[str, bytes] = {}  # other pieces, as they stand
 
     def start(self) -> None:
+        """Begin a new memo; of the full one, what is asked for again goes on in the new one."""
+        self.before = self.memo
         #: piece -> ids with a space before it; BARE + piece -> ids as it stands; the line break
-        self.memo: dict[str, bytes] = {"\n": self.newline.tobytes()}
+        self.memo = {"\n": self.newline.tobytes()}
 
     def _array(self, text: str) -> np.ndarray:
         return np.array(
@@ -61,22 +67,29 @@ class MemoEncoder:
                 self.odd[piece] = v
         return v
 
-    def _learn(self, keys: list[str], bare: bool) -> None:
+    def _learn_all(self, keys: list[str], bare: bool) -> list[bytes]:
+        out: list[bytes] = []
+        for i in range(0, len(keys), LEARN):
+            out += self._learn(keys[i : i + LEARN], bare)
+        return out
+
+    def _learn(self, keys: list[str], bare: bool) -> list[bytes]:
         """Encode new pieces together: each after a space, or each on a line of its own."""
         pieces = [k[1:] for k in keys] if bare else keys
         ids = self._array("\n".join(pieces) if bare else " " + " ".join(pieces))
         if bare:
             ends = np.flatnonzero(ids == self.newline[0]) if len(self.newline) == 1 else []
-            bounds = [(a, b) for a, b in zip([0, *(e + 1 for e in ends)], [*ends, len(ids)])]
+            starts, stops = [0, *(4 * e + 4 for e in ends)], [*(4 * e for e in ends), 4 * len(ids)]
         else:
-            at = np.flatnonzero(self.opens[ids])
-            bounds = list(zip(at, [*at[1:], len(ids)]))
-        if len(bounds) != len(keys):  # a piece was not what it seemed: one by one
-            for k, p in zip(keys, pieces):
-                self.memo[k] = self._array(p if bare else " " + p).tobytes()
-            return
-        for k, (a, b) in zip(keys, bounds):
-            self.memo[k] = ids[a:b].tobytes()
+            starts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            stops = [*starts[1:], 4 * len(ids)]
+        if len(starts) != len(keys):  # a piece was not what it seemed: one by one
+            vals = [self._array(p if bare else " " + p).tobytes() for p in pieces]
+        else:
+            data = ids.tobytes()
+            vals = [data[a:b] for a, b in zip(starts, stops)]
+        self.memo.update(zip(keys, vals))
+        return vals
 
     def _core(self, key: str) -> str:
         """The key without a tail that is a token run of its own."""
@@ -107,46 +120,71 @@ class MemoEncoder:
             out.append(self._value(p) if plain else self._as_is(" " + p))
         return b"".join(out)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _values(self, keys: list[str]) -> list:
+        """What is remembered of each key, else None; what was in use before goes on in the memo."""
         if len(self.memo) > MEMO_ENTRIES:
             self.start()
-        get = self.memo.get
-        rows: list = []
+        vals = list(map(self.memo.get, keys))
+        # no ids are empty, so all() finds what is not known
+        if self.before and not all(vals):
+            for i, v in enumerate(vals):
+                if v is None and (v := self.before.get(keys[i])) is not None:
+                    vals[i] = self.memo[keys[i]] = v
+        return vals
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        # each different piece of the batch is looked up once, and its ids dealt out by number
+        column = pa.array([BARE + t for t in texts], pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " \n " + BARE), " ")
+        coded = split.flatten().dictionary_encode()
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = coded.indices.to_numpy()
+        edges = split.offsets.to_numpy() - split.offsets[0].as_py()
+        vals = self._values(keys)
+        new = [i for i, v in enumerate(vals) if v is None]
+        # most are words, which the library takes at once
+        words = [i for i in new if keys[i].isalnum() and len(keys[i]) <= MEMO_PIECE]
+        for i, v in zip(words, self._learn_all([keys[i] for i in words], False)):
+            vals[i] = v
+        # a cut holds only between characters that are not white space
+        new = [i for i in new if vals[i] is None]
+        bad = np.zeros(len(keys), bool)
+        for i in new:
+            k = keys[i]
+            bad[i] = not k or k == BARE or k[-1].isspace() or k[0] == BARE and k[1].isspace()
+        odd = {r for r, t in enumerate(texts) if BARE in t}
+        if bad.any():
+            odd.update((np.searchsorted(edges, np.flatnonzero(bad[number]), side="right") - 1).tolist())
+        used = np.ones(len(keys), bool)  # keys of other texts than the odd ones
+        if odd:
+            used[:] = False
+            even = np.ones(len(texts), bool)
+            even[list(odd)] = False
+            used[number[np.repeat(even, np.diff(edges))]] = True
+        new = [i for i in new if used[i]]
+        todo = {keys[i] for i in new}
+        for r in odd:
+            todo.update(p for p in texts[r].split() if p not in self.memo)
         plain, bare = set(), set()
-        for t in texts:
-            odd = BARE in t
-            keys = (BARE + t.replace("\n", " \n " + BARE)).split(" ")
-            vals = list(map(get, keys))
-            # no ids are empty, so all() finds what is not known
-            at = [] if all(vals) else [i for i, v in enumerate(vals) if v is None]
-            new = {keys[i] for i in at}
-            for k in new:
-                # a cut holds only between characters that are not white space
-                if not k or k == BARE or k[-1].isspace() or k[0] == BARE and k[1].isspace():
-                    odd = True
-                    break
-            if odd:
-                keys = None
-                new = {p for p in t.split() if p not in self.memo}
-            for k in new:
-                core = self._core(k)
-                if core not in self.memo and len(core) <= MEMO_PIECE and (
-                        core.isalnum() or not any(map(str.isspace, core[1:]))):
-                    (bare if core[0] == BARE else plain).add(core)
-            rows.append((t, keys, vals, at))
-        for kind, keys in ((False, plain), (True, bare)):
-            todo = sorted(keys)
-            for i in range(0, len(todo), LEARN):
-                self._learn(todo[i : i + LEARN], kind)
-        out = []
-        for t, keys, vals, at in rows:
-            if keys is None:
-                out.append(self._odd_text(t))
-                continue
-            for i in at:
-                vals[i] = self._value(keys[i])
-            out.append(b"".join(vals))
-        return out
+        for k in todo:
+            core = self._core(k)
+            if core not in self.memo and len(core) <= MEMO_PIECE and (
+                    core.isalnum() or not any(map(str.isspace, core[1:]))):
+                (bare if core[0] == BARE else plain).add(core)
+        self._learn_all(list(plain), False)
+        self._learn_all(list(bare), True)
+        for i in new:
+            vals[i] = self._value(keys[i])
+        vals = [v if u else b"" for v, u in zip(vals, used.tolist())] if odd else vals
+        ids = np.frombuffer(b"".join(vals), "<u4")
+        size = np.fromiter(map(len, vals), np.int64, len(vals)) // 4
+        first = np.cumsum(size) - size
+        n = size[number]
+        end = np.cumsum(n)
+        flat = ids[np.repeat(first[number] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
+        at = np.concatenate([[0], end])[edges].tolist()
+        return [self._odd_text(t) if r in odd else flat[at[r] : at[r + 1]].tobytes()
+                for r, t in enumerate(texts)]
 
 
 @lru_cache(maxsize=4)

@@ -102,6 +102,23 @@ def test_streaming_bpe_awkward(spark):
 
 
 # ------------------------------------------------------------------- tokens, 2
+def test_memo_encoder_learns_a_piece_in_use_once(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 4)
+    enc = tokens.MemoEncoder(library(queries.BYTE_BPE))
+    learned, learn = [], enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda keys, bare: learned.extend(keys) or learn(keys, bare))
+    texts = ["one two two. three", "four five", "two\tthree two", "three\r two", "", "two three  five"]
+    want = [np.array(enc.tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert enc.encode(texts) == want
+    assert sorted(learned) == sorted(set(learned))
+    learned.clear()
+    # the memo is full: what is asked for again goes on
+    assert enc.encode(["x two three"]) == [
+        np.array(enc.tok.encode("x two three", add_special_tokens=False).ids, "<u4").tobytes()]
+    assert learned == [tokens.BARE + "x"]
+    assert enc.encode([]) == []
+
+
 def test_memo_encoder_equals_library(docs):
     lib, enc = library(queries.BYTE_BPE), tokens.memo_encoder(queries.BYTE_BPE)
     texts = [t or "" for t in ODD] + [r.text for r in docs.collect()]
