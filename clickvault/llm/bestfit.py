@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickvault.llm.common import Scratch, number_rows, partitions_for
-from clickvault.llm.tokens import encode_rows
+from clickvault.llm.tokens import encode_rows, gathered
 
 ROWS_PER_RANGE = 100_000
 _PIECES = ("uid long, doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -46,10 +46,9 @@ def _cut(path: str, end_id: int, capacity: int):
     def run(batches):
         uid = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+        for ids, texts in gathered(batches):
             out: list[list] = [[], [], [], [], [], []]
-            for r, data in encode_rows(batch.column("text").to_pylist(), path):
+            for r, data in encode_rows(texts, path):
                 data += end
                 n = len(data) // 4
                 head = n % capacity or capacity

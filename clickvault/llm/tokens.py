@@ -17,13 +17,15 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from clickvault.llm.common import MEMOS, release_memory
 
 MEMO_ENTRIES = 400_000  # of the memo and of the one before it, each
 MEMO_PIECE = 64  # longer pieces are not remembered
-LEARN = 1_000  # new pieces encoded in one call; the library takes longer for each in long texts
+LEARN = 500  # new pieces encoded in one call; the library takes longer for each in long texts
+CHARS = 16_000_000  # characters of the texts that are encoded together
+ROWS = 500  # texts whose ids are dealt out at a time
 RELEASE = 32_000_000  # characters after which a worker gives free memory back
 _CUT = re.compile(r"(?<=\S) ")
 TAIL = ".,"
@@ -41,6 +43,7 @@ class MemoEncoder:
         self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids whose token starts with a space
         for t, i in vocab.items():
             self.opens[i] = t.startswith("Ġ")
+        self.letters = self._letters()
         self.newline = self._array("\n")
         self.memo: dict[str, bytes] = {}
         self.start()
@@ -53,6 +56,21 @@ class MemoEncoder:
         #: piece -> ids with a space before it; BARE + piece -> ids as it stands; the line break
         self.memo = {"\n": self.newline.tobytes()}
 
+    def _letters(self) -> Tokenizer | None:
+        """The library's tokenizer for ASCII letters after a space, given as the space's character.
+
+        The usual byte-level pattern takes such a word as one piece and each of its bytes is the
+        character of the same name, so the model's merges are all there is to do.
+        """
+        cut = self.tok.pre_tokenizer
+        added = self.tok.get_added_tokens_decoder().values()
+        if (type(cut) is not pre_tokenizers.ByteLevel or not cut.use_regex or self.tok.normalizer
+                or self.tok.post_processor or any(t.content.isalpha() for t in added)):
+            return None
+        tok = Tokenizer(self.tok.model)
+        tok.pre_tokenizer = pre_tokenizers.Split("Ġ", "merged_with_next")
+        return tok
+
     def _array(self, text: str) -> np.ndarray:
         return np.array(
             self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -76,7 +94,12 @@ class MemoEncoder:
     def _learn(self, keys: list[str], bare: bool) -> list[bytes]:
         """Encode new pieces together: each after a space, or each on a line of its own."""
         pieces = [k[1:] for k in keys] if bare else keys
-        ids = self._array("\n".join(pieces) if bare else " " + " ".join(pieces))
+        text = "\n".join(pieces) if bare else "".join(pieces)
+        if not bare and self.letters and text.isascii() and text.isalpha():
+            ids = np.array(self.letters.encode_batch_fast(
+                ["Ġ" + "Ġ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        else:
+            ids = self._array(text if bare else " " + " ".join(pieces))
         if bare:
             ends = np.flatnonzero(ids == self.newline[0]) if len(self.newline) == 1 else []
             starts, stops = [0, *(4 * e + 4 for e in ends)], [*(4 * e for e in ends), 4 * len(ids)]
@@ -143,9 +166,13 @@ class MemoEncoder:
         vals = self._values(keys)
         new = [i for i, v in enumerate(vals) if v is None]
         # most are words, which the library takes at once
-        words = [i for i in new if keys[i].isalnum() and len(keys[i]) <= MEMO_PIECE]
-        for i, v in zip(words, self._learn_all([keys[i] for i in words], False)):
-            vals[i] = v
+        words: tuple[list, list] = ([], [])
+        for i in new:
+            if (k := keys[i]).isalnum() and len(k) <= MEMO_PIECE:
+                words[k.isascii() and k.isalpha()].append(i)
+        for part in words:
+            for i, v in zip(part, self._learn_all([keys[i] for i in part], False)):
+                vals[i] = v
         # a cut holds only between characters that are not white space
         new = [i for i in new if vals[i] is None]
         bad = np.zeros(len(keys), bool)
@@ -171,7 +198,9 @@ class MemoEncoder:
             if core not in self.memo and len(core) <= MEMO_PIECE and (
                     core.isalnum() or not any(map(str.isspace, core[1:]))):
                 (bare if core[0] == BARE else plain).add(core)
-        self._learn_all(list(plain), False)
+        letters = {k for k in plain if k.isascii() and k.isalpha()}
+        self._learn_all(list(letters), False)
+        self._learn_all(list(plain - letters), False)
         self._learn_all(list(bare), True)
         for i in new:
             vals[i] = self._value(keys[i])
@@ -179,12 +208,18 @@ class MemoEncoder:
         ids = np.frombuffer(b"".join(vals), "<u4")
         size = np.fromiter(map(len, vals), np.int64, len(vals)) // 4
         first = np.cumsum(size) - size
-        n = size[number]
-        end = np.cumsum(n)
-        flat = ids[np.repeat(first[number] - (end - n), n) + np.arange(end[-1] if len(end) else 0)]
-        at = np.concatenate([[0], end])[edges].tolist()
-        return [self._odd_text(t) if r in odd else flat[at[r] : at[r + 1]].tobytes()
-                for r, t in enumerate(texts)]
+        out: list[bytes] = []
+        for a in range(0, len(texts), ROWS):
+            rows = edges[a : a + ROWS + 1]
+            mine = number[rows[0] : rows[-1]]
+            n = size[mine]
+            end = np.cumsum(n)
+            flat = ids[np.repeat(first[mine] - (end - n), n) + np.arange(n.sum())]
+            at = np.concatenate([[0], end])[rows - rows[0]].tolist()
+            out += [flat[x:y].tobytes() for x, y in zip(at, at[1:])]
+        for r in odd:
+            out[r] = self._odd_text(texts[r])
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -196,7 +231,7 @@ def memo_encoder(path: str) -> MemoEncoder:
 MEMOS.append(memo_encoder.cache_clear)
 
 
-def encode_rows(texts: list, path: str, chars: int = 4_000_000):
+def encode_rows(texts: list, path: str, chars: int = 2 * CHARS):
     """(row, ids bytes) for every text (None: empty), a bounded part of the rows at a time."""
     enc = memo_encoder(path)
     i = 0
@@ -211,3 +246,18 @@ def encode_rows(texts: list, path: str, chars: int = 4_000_000):
     if enc.since >= RELEASE:
         enc.since = 0
         release_memory()
+
+
+def gathered(batches, chars: int = CHARS):
+    """(doc_ids, texts) of the rows of Arrow batches, about ``chars`` characters together."""
+    ids, texts, n = [], [], 0
+    for batch in batches:
+        ids += batch.column("doc_id").to_pylist()
+        more = batch.column("text").to_pylist()
+        texts += more
+        n += sum(len(t) for t in more if t)
+        if n >= chars:
+            yield ids, texts
+            ids, texts, n = [], [], 0
+    if ids:
+        yield ids, texts

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickvault.llm.common import Scratch, attempt_name, open_fs, partitions_for
-from clickvault.llm.tokens import encode_rows
+from clickvault.llm.tokens import encode_rows, gathered
 
 MAGIC = b"WVM2"
 SHARD_TOKENS = 1 << 21
@@ -261,9 +261,8 @@ def _write(root: str, path: str, end_id: int, bits: int, shard_tokens: int):
             ids, docs, n = [], [], 0
             return row
 
-        for batch in batches:
-            doc = batch.column("doc_id").to_pylist()
-            for r, data in encode_rows(batch.column("text").to_pylist(), path):
+        for doc, texts in gathered(batches):
+            for r, data in encode_rows(texts, path):
                 a = np.concatenate([np.frombuffer(data, "<u4"), end])
                 if int(a.max()) >> bits:
                     raise ValueError(f"a token id needs more than {bits} bits")
